@@ -17,15 +17,10 @@ def drop_corrupt(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def corrupt_report(df: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Total and corrupt rows. Spark refuses to read the corrupt column of a CSV file alone, hence the
-    two groups by a second column."""
-    parts = df.groupBy(F.col(key).isNull().alias("_no_key")).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt")
-    )
-    return parts.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum("corrupt"), F.lit(0)).alias("corrupt_rows"),
+def corrupt_report(df: DataFrame) -> DataFrame:
+    return df.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_rows"),
     )
 
 

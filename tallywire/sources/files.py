@@ -18,16 +18,13 @@ _CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 def read_raw_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW) -> DataFrame:
     """Headerless CSV with `#` comments; a row that does not fit the schema is kept whole in `_corrupt`.
 
-    Column pruning is off, so a row counts as corrupt whichever columns a query asks for.
+    Spark parses only the fields a query uses, and only a parsed field can make a row corrupt. Tying
+    `_corrupt` to all fields makes it mean the same in every query.
     """
-    return (
-        spark.read.schema(schema)
-        .options(**_CSV)
-        .option("header", False)
-        .option("comment", "#")
-        .option("columnPruning", False)
-        .csv(path)
-    )
+    df = spark.read.schema(schema).options(**_CSV).option("header", False).option("comment", "#").csv(path)
+    fields = [f.name for f in schema.fields if f.name != CORRUPT]
+    all_read = F.size(F.array(*[F.col(f).isNull() for f in fields])) == len(fields)
+    return df.withColumn(CORRUPT, F.when(all_read, F.col(CORRUPT)))
 
 
 def parse_raw_csv(col: Column | str, schema: T.StructType = RAW) -> Column:

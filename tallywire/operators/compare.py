@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallywire.functions import safe_div, safe_sqrt
 from tallywire.operators.metrics import cells, evaluate_scores, weighted_prf_columns
+from tallywire.operators.skew import spread
 
 METRICS = ("auc", "f1", "p", "r")
 
@@ -53,31 +54,39 @@ def bootstrap(
     prediction) cells, at most n x bins x 4 per model; AUC is taken on the binned curve.
     """
     models = models or {"model": ("prediction", "prob_1")}
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col("_block").cast("string")))
+    drawn_from = [F.lit(str(seed)), F.col(key).cast("string"), F.col("_block").cast("string")]
+    digest = F.md5(F.concat_ws(":", *drawn_from))
     draws = F.array(*[F.substring(F.col("_digest"), 8 * i + 1, 8) for i in range(4)])
     scored = F.array(
         *[
             F.struct(
-                F.lit(name).alias("model"),
+                F.lit(i).alias("model"),
                 F.col(pred).cast("int").alias("prediction"),
                 F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int").alias("bin"),
             )
-            for name, (pred, score) in models.items()
+            for i, (pred, score) in enumerate(models.values())
         ]
     )
     blocks = F.array(*[F.lit(i) for i in range(-(-n // 4))])
+    names = F.array(*[F.lit(name) for name in models])
     weighted = (
-        df.select(F.col(label).cast("int").alias("label"), key, scored.alias("_scored"))
+        spread(df.select(F.col(label).cast("int").alias("label"), key, scored.alias("_scored")))
         .select("*", F.explode(blocks).alias("_block"))
         .withColumn("_digest", digest)
         .select("label", "_scored", "_block", F.posexplode(draws).alias("_i", "_draw"))
-        .select("label", "_scored", (F.col("_block") * 4 + F.col("_i")).alias("replicate"), poisson_weight(F.col("_draw")).alias("w"))
+        .select(
+            "label",
+            "_scored",
+            (F.col("_block") * 4 + F.col("_i")).alias("replicate"),
+            poisson_weight(F.col("_draw")).alias("w"),
+        )
         .where((F.col("w") > 0) & (F.col("replicate") < n))
         .select("label", "replicate", "w", F.explode("_scored").alias("s"))
         .groupBy("s.model", "replicate", "s.bin", "label", "s.prediction")
         .agg(F.sum("w").alias("w"))
     )
-    return scores_from_cells(weighted, ["model", "replicate"])
+    scores = scores_from_cells(weighted, ["model", "replicate"])
+    return scores.withColumn("model", names[F.col("model")])
 
 
 def scores_from_cells(folded: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -201,5 +210,7 @@ def compare_scored(
         row = evaluate_scores(df, pred=pred, score=score).select(F.lit(name).alias("model"), "*")
         evaluated = row if evaluated is None else evaluated.unionByName(row)
     scores = bootstrap(df, n, seed, {"base": base, "candidate": candidate})
-    comparison = compare(scores, "base", "candidate", metrics, alpha, paired)
+    # one row per metric: taken once, so that the decision does not run the bootstrap again
+    lazy = compare(scores, "base", "candidate", metrics, alpha, paired)
+    comparison = df.sparkSession.createDataFrame(lazy.collect(), lazy.schema)
     return evaluated, comparison, decide(comparison, metrics[0])

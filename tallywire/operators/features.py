@@ -22,7 +22,7 @@ from tallywire.functions import (
 )
 from tallywire.operators.buckets import BucketSpec, bucketed_multi
 from tallywire.operators.skew import HOT_RUNNING, HOT_SLIDING, same_keys, split_hot
-from tallywire.operators.windows import Frames, rolling_by_second, rolling_columns
+from tallywire.operators.windows import Frames, rolling_by_second, rolling_columns, with_windows
 from tallywire.schemas import FEATURE
 
 TIME, AMOUNT, LABEL = "unix_time", "tx_amount", "tx_fraud"
@@ -117,13 +117,13 @@ def _customer_block(
     hot_rows: int | None,
 ) -> DataFrame:
     """Pair and customer windows in one select: they share the shuffle by customer."""
-    columns: dict[str, Column] = {}
+    parts = [rolling_columns([CUSTOMER], TIME, AMOUNT, f, aggs, "cust") for f, aggs in blocks.values()]
     if pair:
-        columns.update(rolling_columns([CUSTOMER, TERMINAL], TIME, AMOUNT, PAIR, ["isnew"], "ct"))
-    for frames, aggs in blocks.values():
-        columns.update(rolling_columns([CUSTOMER], TIME, AMOUNT, frames, aggs, "cust"))
+        parts.insert(0, rolling_columns([CUSTOMER, TERMINAL], TIME, AMOUNT, PAIR, ["isnew"], "ct"))
+    raw = {n: c for r, _ in parts for n, c in r.items()}
+    made = {n: c for _, m in parts for n, c in m.items()}
     cold, hot = split_hot(df, [CUSTOMER], hot_rows)
-    out = cold.select("*", *[c.alias(n) for n, c in columns.items()])
+    out = with_windows(cold, raw, made)
     if hot is None:
         return out
     wide = hot

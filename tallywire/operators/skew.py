@@ -38,6 +38,12 @@ def join_checked(
     return same_keys(df, F.broadcast(other) if small else other, keys, how)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over the session's shuffle partitions, for work that costs far more per row than
+    moving the row."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def hot_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
     """Keys with more than `limit` rows."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)

@@ -24,37 +24,45 @@ def range_windows(keys: Sequence[str], time: str, frames: Frames, prefix: str =
     return {f"{head}{name}": base.rangeBetween(lo, hi) for name, (lo, hi) in frames.items()}
 
 
-def _last_before(keys: Sequence[str], time: str, hi: int) -> Column:
-    """Latest time of the key at or before `hi` seconds from now: a running frame, linear in the rows."""
-    return F.max(time).over(
-        Window.partitionBy(*keys).orderBy(time).rangeBetween(Window.unboundedPreceding, hi)
-    )
-
-
-def first_seen(keys: Sequence[str], time: str, lo: int, hi: int) -> Column:
-    """1 when the key has no row in the frame, else 0."""
-    last = _last_before(keys, time, hi)
-    return F.when(last.isNull() | (last < F.col(time) + lo), 1).otherwise(0)
+Columns = dict[str, Column]
 
 
 def rolling_columns(
     keys: Sequence[str], time: str, target: str, frames: Frames, aggs: Sequence[str], prefix: str = ""
-) -> dict[str, Column]:
-    """Column name -> window expression, per frame in the order count, sum, avg, std, first-seen flag."""
-    out: dict[str, Column] = {}
+) -> tuple[Columns, Columns]:
+    """Window columns each computed once, and the result columns made from them.
+
+    Result order per frame: count, sum, avg, std, first-seen flag.
+    """
+    raw: Columns = {}
+    made: Columns = {}
+    until = Window.partitionBy(*keys).orderBy(time)
     for (name, window), (lo, hi) in zip(range_windows(keys, time, frames, prefix).items(), frames.values()):
-        count, total = F.count(F.lit(1)).over(window), F.sum(target).over(window)
-        made = {
-            "count": lambda: count,
-            "sum": lambda: total,
-            "avg": lambda: safe_div(total, count),
-            "std": lambda: F.stddev_samp(target).over(window),
-            "isnew": lambda: first_seen(keys, time, lo, hi),
+        count, total, std = (f"_{a}_{target}_{name}" for a in ("count", "sum", "std"))
+        last = f"_last_{prefix}_{abs(hi)}"
+        if {"count", "avg"} & set(aggs):
+            raw[count] = F.count(F.lit(1)).over(window)
+        if {"sum", "avg"} & set(aggs):
+            raw[total] = F.sum(target).over(window)
+        if "std" in aggs:
+            raw[std] = F.stddev_samp(target).over(window)
+        if "isnew" in aggs:
+            # the latest earlier time is a running frame: linear in the rows, and shared by the frames
+            raw[last] = F.max(time).over(until.rangeBetween(Window.unboundedPreceding, hi))
+        results = {
+            "count": F.col(count),
+            "sum": F.col(total),
+            "avg": safe_div(total, count),
+            "std": F.col(std),
+            "isnew": F.when(F.col(last) >= F.col(time) + lo, 0).otherwise(1),
         }
-        for agg, build in made.items():
-            if agg in aggs:
-                out[f"{target}_{SHORT[agg]}_{name}"] = build()
-    return out
+        made.update({f"{target}_{SHORT[a]}_{name}": c for a, c in results.items() if a in aggs})
+    return raw, made
+
+
+def with_windows(df: DataFrame, raw: Columns, made: Columns) -> DataFrame:
+    wide = df.select("*", *[c.alias(n) for n, c in raw.items()])
+    return wide.select(*df.columns, *[c.alias(n) for n, c in made.items()])
 
 
 def rolling(
@@ -72,9 +80,8 @@ def rolling(
     Average is sum over row count and null on an empty frame, `std` the sample deviation. Keys with more
     than `hot_rows` rows take `rolling_by_second`; the results are the same.
     """
-    columns = rolling_columns(keys, time, target, frames, aggs, prefix)
     cold, hot = split_hot(df, list(keys), hot_rows)
-    out = cold.select("*", *[c.alias(n) for n, c in columns.items()])
+    out = with_windows(cold, *rolling_columns(keys, time, target, frames, aggs, prefix))
     if hot is None:
         return out
     extra = rolling_by_second(hot, keys, time, target, frames, aggs, prefix)
@@ -150,8 +157,7 @@ def rolling_by_second(
     if sliding:
         out = _three_part_frames(seconds, keys, time, target, frames, sliding, prefix)
     if "isnew" in aggs:
-        flags = rolling_columns(keys, time, target, frames, ["isnew"], prefix)
-        out = out.select("*", *[c.alias(n) for n, c in flags.items()])
+        out = with_windows(out, *rolling_columns(keys, time, target, frames, ["isnew"], prefix))
     return out
 
 

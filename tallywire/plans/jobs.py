@@ -187,7 +187,6 @@ def ab_job(
             scored, ("pred_a", "score_a"), ("pred_b", "score_b"), cfg.replicates, cfg.seed, cfg.alpha, cfg.paired
         )
         metrics = {f"{r['model']}_{k}": r[k] for r in evaluated.collect() for k in evaluated.columns[1:]}
-        comparison = spark.createDataFrame(comparison.collect(), comparison.schema)
         for row in comparison.collect():
             one = comparison.where(F.col("metric") == row["metric"])
             metrics |= {f"{row['metric']}_{m['name']}": m["value"] for m in flatten_metrics(one).collect()}

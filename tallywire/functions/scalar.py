@@ -139,9 +139,10 @@ def with_calendar(df: DataFrame, time: str = "unix_time") -> DataFrame:
     )
 
 
-def with_cyclic(df: DataFrame, time: str = "unix_time") -> DataFrame:
-    hour_sin, hour_cos = cyclic(hour_of(time), 24)
-    day_sin, day_cos = cyclic(day_of_week(time), 7)
+def with_cyclic(df: DataFrame, hour: str = "hour", day: str = "day_of_week") -> DataFrame:
+    """Sine and cosine of the hour and the day of the week (`with_calendar`)."""
+    hour_sin, hour_cos = cyclic(hour, 24)
+    day_sin, day_cos = cyclic(day, 7)
     return df.withColumns({"hour_sin": hour_sin, "hour_cos": hour_cos, "day_sin": day_sin, "day_cos": day_cos})
 
 

@@ -141,6 +141,10 @@ def bucketed_multi(
         df = bucket_running(df, keys, time, running, ends.pop(), hot_rows)
     df = join_buckets(df, buckets, keys)
 
+    # totals first, results from the totals: shared values are computed once, and the generated methods
+    # stay small enough for the JVM to compile
+    keep = [c for c in columns if c != BUCKET]
+    totals: dict[str, Column] = {}
     made: dict[str, Column] = {}
     for s in specs:
         for frame, (lo, hi) in s.frames.items():
@@ -150,9 +154,12 @@ def bucketed_multi(
                 value = F.coalesce(F.col(f"_h{name}_{lo}_{hi}"), F.lit(0))
                 if s.include_current:
                     value = value + F.coalesce(F.col(f"_run{name}"), F.lit(0))
-                total[need] = value
+                label = f"_t{name}_{lo}_{hi}_{s.include_current}"
+                totals[label] = value
+                total[need] = F.col(label)
             made.update(_finish(s, frame, total))
-    return df.select(*[c for c in columns if c != BUCKET], *[c.alias(n) for n, c in made.items()])
+    df = df.select(*keep, *[c.alias(n) for n, c in totals.items()])
+    return df.select(*keep, *[c.alias(n) for n, c in made.items()])
 
 
 def _finish(s: BucketSpec, frame: str, total: dict[str, Column]) -> dict[str, Column]:
@@ -165,7 +172,7 @@ def _finish(s: BucketSpec, frame: str, total: dict[str, Column]) -> dict[str, Co
         out[s.column("avg", frame)] = safe_div(total["sum"], total["cnt"], 0)
     if "std" in s.aggs:
         mean = safe_div(total["sum"], total["cnt"])
-        spread = safe_div(total["sq"], total["cnt"]) - square(mean)
+        spread = safe_div(total["sq"], total["cnt"]) - mean * mean
         out[s.column("std", frame)] = F.when(total["cnt"] > 1, safe_sqrt(spread)).otherwise(0.0)
     return out
 

@@ -85,8 +85,9 @@ class FeatureConfig:
         return terminal_history_frames(self.width)
 
 
-#: seconds of history a feature row can look back, one bucket included
-LONGEST_LOOKBACK = MONTH + HOUR
+#: seconds a feature row can look back: new customers are counted over a week of buckets, and whether a
+#: customer was new then depends on the month before that
+LONGEST_LOOKBACK = MONTH + WEEK + HOUR
 
 
 def customer_current(df: DataFrame, hot_rows: int | None = HOT_SLIDING) -> DataFrame:

@@ -118,6 +118,8 @@ def _fold(window: WindowSpec | None = None) -> list[Column]:
 
 def _add(part: str, pieces: list[Column]) -> Column:
     if part in ("min", "max"):
+        if len(pieces) == 1:
+            return pieces[0]
         pick = F.least if part == "min" else F.greatest
         return pick(*pieces)
     filled = [F.coalesce(p, F.lit(0)) for p in pieces]

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywire.functions import DAY, fill_numeric
+from tallywire.functions import DAY, fill_numeric, to_message
 from tallywire.operators import models, split
 from tallywire.operators.features import build_features
 from tallywire.plans import jobs
@@ -34,7 +34,7 @@ def _trained(spark, sf):
     return models.train(split.with_class_weight(train_part), SMALL), train_part, test_part
 
 
-@query("assemble")
+@query("assemble", "SELECT event_id AS transaction_id, 62 AS n_features FROM events")
 def assemble(spark, sf):
     rows = models.assemble(fill_numeric(build_features(tx(spark, sf)), 0))
     return rows.select("transaction_id", F.size(vector_to_array("features")).alias("n_features"))
@@ -89,14 +89,20 @@ def batch_score(spark, sf):
     return models.score(test_part, model, "1").select("transaction_id", "prediction", "label", "version")
 
 
-@query("stream_score")
+@query(
+    "stream_score",
+    f"""WITH {TX} SELECT transaction_id::VARCHAR AS key, true AS same_as_batch FROM tx
+    WHERE unix_time > (SELECT quantile_disc(unix_time, 0.8) FROM tx)""",
+)
 def stream_score(spark, sf):
-    """Feature messages through the scorer stream; every record must come out once."""
+    """Feature messages through the scorer stream: every record comes out once, as in batch scoring."""
     model, _, test_part = _trained(spark, sf)
     inbox = scratch_path(spark, "score-in")
     test_part.select(F.to_json(F.struct(*CONTRACT.fieldNames())).alias("value")).write.text(inbox)
-    sent = spark.readStream.text(inbox)
-    return run_and_read(score_stream(sent, model, "1"), "score-out")
+    streamed = run_and_read(score_stream(spark.readStream.text(inbox), model, "1"), "score-out")
+    batch = models.score(test_part, model, "1").select("transaction_id", "prediction", "label", "version")
+    both = streamed.join(to_message(batch).withColumnRenamed("value", "expected"), "key", "full")
+    return both.select("key", F.col("value").eqNullSafe(F.col("expected")).alias("same_as_batch"))
 
 
 # rows that survive the clean job: not corrupt, valid, id below the last one

@@ -48,7 +48,7 @@ def calendar_features(spark, sf):
       {r6('sin(2 * pi() * (dayofweek(moment) + 1) / 7)', 'day_sin')}, {r6('cos(2 * pi() * (dayofweek(moment) + 1) / 7)', 'day_cos')} FROM c""",
 )
 def cyclic_features(spark, sf):
-    out = fn.with_cyclic(tx(spark, sf))
+    out = fn.with_cyclic(fn.with_calendar(tx(spark, sf)))
     return rounded(out.select("transaction_id", "hour_sin", "hour_cos", "day_sin", "day_cos"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +20,8 @@ def build_session(app: str = "tallywire", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        # the JVM never compiles methods above 8000 bytes; wide feature rows would run interpreted
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
@@ -32,9 +35,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="tallywire-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallywire-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -131,7 +131,10 @@ def _customer_block(
     if pair:
         flags = rolling_by_second(hot, [CUSTOMER, TERMINAL], TIME, AMOUNT, PAIR, ["isnew"], "ct")
         wide = same_keys(wide, flags, [CUSTOMER, TERMINAL, TIME])
-    for frames, aggs in blocks.values():
+    if blocks:
+        # all frames in one pass over the seconds; what a frame set did not ask for is pruned
+        frames = {name: bounds for block, _ in blocks.values() for name, bounds in block.items()}
+        aggs = sorted({a for _, block_aggs in blocks.values() for a in block_aggs})
         stats = rolling_by_second(hot, [CUSTOMER], TIME, AMOUNT, frames, aggs, "cust")
         wide = same_keys(wide, stats, [CUSTOMER, TIME])
     return out.unionByName(wide.select(*out.columns))

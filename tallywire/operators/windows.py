@@ -139,25 +139,24 @@ def rolling_by_second(
     keys = list(keys)
     sliding = [a for a in aggs if a != "isnew"]
 
-    # deviations are taken around the key's mean, which leaves them unchanged and keeps squares small
-    centre = df.groupBy(*keys).agg(F.avg(target).alias("_centre"))
-    gap = F.col(target).cast("double") - F.col("_centre")
-    seconds = (
-        same_keys(df.select(*keys, time, target), centre, keys)
-        .groupBy(*keys, time)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.count(target).alias("_vals"),
-            F.sum(target).alias("_sum"),
-            F.sum(square(gap)).alias("_sq"),
-            F.sum(gap).alias("_gap"),
-            F.min(target).alias("_min"),
-            F.max(target).alias("_max"),
-        )
+    seconds = df.groupBy(*keys, time).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count(target).alias("_vals"),
+        F.sum(target).alias("_sum"),
+        F.avg(target).alias("_mean"),
+        F.var_pop(target).alias("_var"),
+        F.min(target).alias("_min"),
+        F.max(target).alias("_max"),
     )
     out = seconds.select(*keys, time)
     if sliding:
-        out = _three_part_frames(seconds, keys, time, target, frames, sliding, prefix)
+        # deviations are taken around the key's mean, which leaves them unchanged and keeps squares small
+        centre = seconds.groupBy(*keys).agg(safe_div(F.sum("_sum"), F.sum("_vals")).alias("_centre"))
+        off = F.col("_mean") - F.col("_centre")
+        centred = same_keys(seconds, centre, keys).withColumns(
+            {"_gap": F.col("_vals") * off, "_sq": F.col("_vals") * (F.col("_var") + square(off))}
+        )
+        out = _three_part_frames(centred, keys, time, target, frames, sliding, prefix)
     if "isnew" in aggs:
         out = with_windows(out, *rolling_columns(keys, time, target, frames, ["isnew"], prefix))
     return out
@@ -182,7 +181,7 @@ def _three_part_frames(
         F.explode(F.array(*[F.lit(o) for o in offsets])).alias("_offset"),
         F.col(time).alias("_origin"),
     ).withColumn("_at", F.col("_origin") + F.col("_offset"))
-    data = seconds.withColumnRenamed(time, "_at")
+    data = seconds.select(*keys, F.col(time).alias("_at"), *[f"_{p}" for p in _FOLD])
     line = data.unionByName(probes, allowMissingColumns=True).withColumn("_cell", bucket_of("_at", width))
     # "since" runs backwards in time, because a frame up to unboundedFollowing is recomputed per row
     inside = Window.partitionBy(*keys, "_cell")

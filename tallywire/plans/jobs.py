@@ -1,4 +1,4 @@
-"""The five jobs. Each writes its result first and commits its state last; a rerun after a crash replaces
+"""The batch and stream jobs. Each writes its result first and commits its state last; a rerun after a crash replaces
 the partitions of the unfinished batch, because they are keyed by the start of the batch."""
 
 from __future__ import annotations
@@ -28,9 +28,9 @@ from tallywire.operators.slices import slice_range, span, with_clean_bounds, wit
 from tallywire.operators.split import split_by_time, time_folds, with_class_weight
 from tallywire.schemas import FEATURE_INPUT, MODEL_INPUTS
 from tallywire.sources.files import read_raw_csv, read_sample, read_table, write_partitioned
-from tallywire.sources.messages import kafka_sink, kafka_source
+from tallywire.sources.messages import archive_stream, kafka_sink, kafka_source
 from tallywire.sources.state import Registry, input_example, log_run, read_state, save_feature_spec, write_state
-from tallywire.streaming.transforms import StreamConfig, run_stream
+from tallywire.streaming.transforms import StreamConfig, run_stream, score_stream
 
 DONE = "old_end_datetime"
 
@@ -199,6 +199,39 @@ def ab_job(
     return {"should_deploy": ship, "best": best, "latest": latest, "metrics": metrics}
 
 
+def score_job(
+    spark: SparkSession,
+    servers: str,
+    topic_in: str,
+    topic_out: str,
+    checkpoint: str,
+    registry_path: str,
+    name: str = "fraud_model",
+    security: dict[str, str] | None = None,
+) -> DataStreamWriter:
+    """Feature messages to prediction messages with the best model; start the returned writer."""
+    registry = Registry(spark, registry_path)
+    version = registry.resolve(name, "best")
+    if version is None:
+        raise LookupError(f"no model named {name} in {registry_path}")
+    messages = kafka_source(spark, servers, topic_in, security)
+    scored = score_stream(messages, registry.load(name, version), str(version))
+    return kafka_sink(scored, servers, topic_out, checkpoint, security)
+
+
+def archive_job(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    path: str,
+    checkpoint: str,
+    security: dict[str, str] | None = None,
+) -> DataStreamWriter:
+    """Topic to gzip Parquet by day of the record time; start the returned writer."""
+    records = kafka_source(spark, servers, topic, security).select(F.col("value").cast("string"), "timestamp")
+    return archive_stream(records, path, "timestamp", checkpoint)
+
+
 def stream_job(
     spark: SparkSession,
     servers: str,

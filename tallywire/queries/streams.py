@@ -104,6 +104,22 @@ def stream_fraud_share(spark, sf):
     )
 
 
+@query(
+    "stream_counts",
+    f"""WITH {TX}, w AS (SELECT unix_time // 3600 * 3600 AS start_time, CASE WHEN tx_fraud = 1 THEN 'fraud' ELSE 'normal' END AS label,
+          'v' || (customer_id % 3) AS version, count(*) AS n FROM tx GROUP BY ALL)
+    SELECT * FROM w WHERE start_time + 3600 <= (SELECT max(unix_time) - 86400 FROM tx)""",
+)
+def stream_counts(spark, sf):
+    rows = tx_stream(spark, sf).select(
+        F.timestamp_seconds("unix_time").alias("at"),
+        label_text("tx_fraud").alias("label"),
+        F.concat(F.lit("v"), F.col("customer_id") % 3).alias("version"),
+    )
+    counts = run_and_read(st.stream_counts(rows, "at", length="1 hour"), "counts")
+    return counts.select(F.unix_timestamp("window.start").alias("start_time"), "label", "version", "n")
+
+
 @query(
     "stream_quarantine",
     f"""WITH {TX} SELECT CASE WHEN transaction_id % 7 = 0 OR transaction_id % 5 = 0 THEN 'bad' ELSE 'good' END AS part,

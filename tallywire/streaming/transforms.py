@@ -95,6 +95,12 @@ def stream_monitor(df: DataFrame, ts: str, delay: str = "1 day", length: str = "
     return fraud_share(df.withWatermark(ts, delay), ts, length)
 
 
+def stream_counts(df: DataFrame, ts: str, delay: str = "1 day", length: str = "5 minutes") -> DataFrame:
+    """Predictions by label and model version per window of event time."""
+    window = F.window(ts, length).alias("window")
+    return df.withWatermark(ts, delay).groupBy(window, "label", "version").agg(F.count(F.lit(1)).alias("n"))
+
+
 def score_stream(
     messages: DataFrame,
     model: PipelineModel,

@@ -43,8 +43,13 @@ def test_hot_keys_equal_direct_windows(spark, frames):
     df = make(spark)
     direct = rolling(df, ["customer_id"], "unix_time", "tx_amount", frames, ALL, "c", hot_rows=None)
     by_second = rolling(df, ["customer_id"], "unix_time", "tx_amount", frames, ALL, "c", hot_rows=0)
-    mixed = rolling(df, ["customer_id"], "unix_time", "tx_amount", frames, ALL, "c", hot_rows=120)
     assert values(by_second) == values(direct)
+
+
+def test_hot_and_ordinary_keys_side_by_side(spark):
+    df, frames = make(spark), FRAMES["aligned"]
+    direct = rolling(df, ["customer_id"], "unix_time", "tx_amount", frames, ALL, "c", hot_rows=None)
+    mixed = rolling(df, ["customer_id"], "unix_time", "tx_amount", frames, ALL, "c", hot_rows=120)
     assert values(mixed) == values(direct)
 
 
@@ -84,8 +89,7 @@ BUCKET_FRAMES = {"x": (-86400, -3601), "y": (-172800, -90001), "z": (-7200, -360
 BUCKET_AGGS = ["count", "sum", "avg", "std"]
 
 
-@pytest.mark.parametrize("hot", [None, 0, 20])
-@pytest.mark.parametrize("end", [0, -1])
+@pytest.mark.parametrize("hot, end", [(None, 0), (20, 0), (0, -1)])
 def test_bucketed_equals_frames_over_bucket_start(spark, hot, end):
     df = make(spark).fillna({"tx_amount": 1.5})
     got = bucketed_rolling(

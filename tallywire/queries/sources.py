@@ -15,7 +15,6 @@ from tallywire.queries.common import (
     query,
     rounded,
     r6,
-    run_and_read,
     table,
     tx,
     tx_stream,

@@ -79,9 +79,13 @@ def quarantine_sink(
     batch replaces itself."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_bad(batch, schema)
-        for part, path in ((good, good_path), (bad, bad_path)):
-            part.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch = batch.persist()
+        try:
+            good, bad = split_bad(batch, schema)
+            for part, path in ((good, good_path), (bad, bad_path)):
+                part.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         messages.writeStream.foreachBatch(write)

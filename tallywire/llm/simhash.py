@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,10 +68,14 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.int64)[0])
 
 
-@F.pandas_udf("long")
-def _fingerprint(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for rows in parts:
-        yield pd.Series([majority(np.asarray(x, np.int64)) if len(x) else 0 for x in rows], dtype="int64")
+def _with_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, list of hashes) -> (id, fingerprint)."""
+    for batch in batches:
+        lists = batch.column(1)
+        values, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        ends = ends - ends[0]
+        prints = [majority(values[i:j]) for i, j in zip(ends[:-1], ends[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["_id", "_print"])
 
 
 def _remainder(words: np.ndarray) -> np.ndarray:
@@ -100,21 +104,32 @@ def golay_indices(words: np.ndarray) -> np.ndarray:
     return (near ^ ERRORS[_remainder(near)]) >> 11
 
 
-@F.pandas_udf("array<long>")
-def _golay_keys(prints: pd.Series) -> pd.Series:
-    bits = prints.to_numpy(np.int64).view(np.uint64)
+def golay_keys(prints: np.ndarray) -> np.ndarray:
+    """72 keys of each fingerprint, repeats included: free segment, index of the next one, which segment is free."""
+    bits = prints.view(np.uint64)
     part = [((bits >> np.uint64(s)) & np.uint64((1 << n) - 1)).astype(np.int64) for s, n in SEGMENTS]
-    keys = []
-    for free in range(3):
-        index = golay_indices(part[(free + 1) % 3])
-        keys.append((part[free][:, None] << 12 | index) * 3 + free)
-    return pd.Series([np.unique(row) for row in np.concatenate(keys, axis=1)])
+    return np.concatenate(
+        [(part[k][:, None] << 12 | golay_indices(part[(k + 1) % 3])) * 3 + k for k in range(3)], axis=1
+    )
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(fingerprint) -> (fingerprint, key), each key of a fingerprint once."""
+    for batch in batches:
+        prints = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        keys = np.sort(golay_keys(prints), axis=1)
+        first = np.ones(keys.shape, bool)
+        first[:, 1:] = keys[:, 1:] != keys[:, :-1]
+        row, _ = np.nonzero(first)
+        yield pa.RecordBatch.from_arrays([pa.array(prints[row]), pa.array(keys[first])], ["_print", "_key"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """_id, _print: one row per row of `docs`, written once."""
     hashes = shingle_hashes(F.col(text_col), shingle)
-    return written(docs.select(F.col(id_col).alias("_id"), _fingerprint(hashes).alias("_print")), "fingerprints")
+    kind = docs.schema[id_col].dataType.simpleString()
+    hashed = docs.select(F.col(id_col).alias("_id"), hashes.alias("_hashes"))
+    return written(hashed.mapInArrow(_with_print, f"_id {kind}, _print long"), "fingerprints")
 
 
 def linked_prints(prints: DataFrame, max_bucket: int = 256, max_bits: int = 2) -> DataFrame:
@@ -122,7 +137,7 @@ def linked_prints(prints: DataFrame, max_bucket: int = 256, max_bits: int = 2) -
     if max_bits > 2:
         raise ValueError("the keys are made for two differing bits")
     distinct = prints.select("_print").distinct()
-    keyed = written(distinct.withColumn("_key", F.explode(_golay_keys("_print"))), "golay-keys")
+    keyed = written(distinct.mapInArrow(_keyed, "_print long, _key long"), "golay-keys")
     counts = keyed.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1")
     small = counts.where(F.col("_n") <= max_bucket).select("_key")
     left = keyed.join(small, "_key").select("_key", F.col("_print").alias("a"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywire.llm import line_dedup, mixing, simhash
+from tallywire.llm import licenses, line_dedup, mixing, quality, secrets_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,3 +83,36 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
         F.lower(F.lpad(F.hex("_print"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query("op1_quality")
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return judged.select("doc_id", *quality.BASE, "base_failed", "kept")
+
+
+@query("op3_licenses")
+def op3_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf, "documents"))
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+@query("op8_secrets")
+def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets_scan.scan(table(spark, sf, "documents"))
+    base = ("assign", "access", "hex")
+    kinds = F.transform("findings", lambda f: f["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in base]
+    spans = secrets_scan.span_text(F.filter("findings", lambda f: f["kind"].isin(*base)))
+    return found.select(
+        F.col("_id").alias("doc_id"), *counts, F.sha2(spans, 256).alias("base_sha256"), secrets_scan.span_text(F.col("findings")).alias("spans")
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywire.llm import licenses, line_dedup, mixing, quality, secrets_scan, simhash
+from tallywire.llm import html_text, licenses, line_dedup, mixing, quality, secrets_scan, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file; only the driver reads it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 SQL_SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
@@ -116,3 +123,15 @@ def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         F.col("_id").alias("doc_id"), *counts, F.sha2(spans, 256).alias("base_sha256"), secrets_scan.span_text(F.col("findings")).alias("spans")
     )
+
+
+@query("op9_html")
+def op9_html(spark: SparkSession, sf: str) -> DataFrame:
+    found = html_text.extract_text(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+
+
+@query("op10_tokens")
+def op10_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    counts = tokens.count_tokens(table(spark, sf, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return counts.select(F.col("_id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywire.llm import html_text, licenses, line_dedup, mixing, quality, secrets_scan, simhash, tokens
+from tallywire.llm import decontaminate, html_text, licenses, line_dedup, mixing, quality, secrets_scan, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,3 +135,23 @@ def op9_html(spark: SparkSession, sf: str) -> DataFrame:
 def op10_tokens(spark: SparkSession, sf: str) -> DataFrame:
     counts = tokens.count_tokens(table(spark, sf, "documents"), tokenizer_path("piece_bpe_32k.model"))
     return counts.select(F.col("_id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+#: words of letters, digits and characters beyond ASCII
+SQL_WORDS = r"[w FOR w IN regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF w <> '']"
+SQL_SHINGLES = "SELECT DISTINCT {0}, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS s FROM {1}"
+
+
+@query(
+    "op7_decontamination",
+    f"""
+    WITH d AS (SELECT doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+    b AS (SELECT item_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
+    ds AS ({SQL_SHINGLES.format("doc_id", "d")}), bs AS ({SQL_SHINGLES.format("item_id", "b")}),
+    n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+    m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n_shingles, n_shared FROM m JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles""",
+)
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return leaks.select(F.col("_id").alias("doc_id"), F.col("_item").alias("item_id"), "n_shingles", "n_shared")

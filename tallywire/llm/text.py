@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
+from typing import Any
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -58,3 +60,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def ship_code(module: str) -> None:
     """Send the module's functions to the Python workers with the job, so executors need no copy of the package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+def once_per_worker(shared: Any, build: Callable[..., Any]) -> Any:
+    """build(*args) for a broadcast {"args": …}; kept in the worker's copy, so its later tasks find it there."""
+    box = shared.value
+    if "built" not in box:
+        box["built"] = build(*box["args"])
+    return box["built"]
+ship_code(__name__)

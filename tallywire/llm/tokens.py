@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywire.llm.text import ship_code, text_key
+from tallywire.llm.text import once_per_worker, ship_code, text_key
 
 ship_code(__name__)
 
@@ -205,7 +205,7 @@ def load_pieces(path: str) -> list[str]:
 
 def _chunk_maps(shared: Any):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        transducer = shared.value
+        transducer = once_per_worker(shared, Transducer)
         for batch in batches:
             heads, inner, tails = [], [], []
             for number, text in zip(batch.column("_k").to_pylist(), batch.column("_chunk").to_pylist()):
@@ -225,7 +225,7 @@ def _chunk_maps(shared: Any):
 
 def _seams(shared: Any):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        transducer = shared.value
+        transducer = once_per_worker(shared, Transducer)
         for batch in batches:
             counts = [transducer.count(WORDS.findall(text)) for text in batch.column("_seam").to_pylist()]
             columns = [batch.column("_id"), batch.column("_row"), pa.array(counts, pa.int64())]
@@ -237,11 +237,11 @@ def _seams(shared: Any):
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """_id, n_bytes and n_tokens of every row of `docs`.
 
-    The compiled vocabulary is broadcast (the pieces of one model, some megabytes whatever the documents); the states
-    a worker adds to its copy stay for its later tasks.
+    The vocabulary is broadcast (the pieces of one model, less than a megabyte whatever the documents). A worker compiles
+    it once, and the states it adds stay for its later tasks.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(Transducer(load_pieces(model_path)))
+    shared = spark.sparkContext.broadcast({"args": (load_pieces(model_path),)})
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_row"), text.alias("_text"))

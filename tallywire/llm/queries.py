@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywire.llm import decontaminate, html_text, licenses, line_dedup, mixing, quality, secrets_scan, simhash, tokens
+from tallywire.llm import decontaminate, html_text, licenses, line_dedup, mixing, quality, secrets_scan, simhash, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,3 +155,24 @@ SQL_SHINGLES = "SELECT DISTINCT {0}, unnest([array_to_string(w[i:i + 4], ' ') FO
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     leaks = decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return leaks.select(F.col("_id").alias("doc_id"), F.col("_item").alias("item_id"), "n_shingles", "n_shared")
+
+
+SQL_BLANKS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+@query(
+    "op2_substring_dedup",
+    f"""
+    WITH d AS (SELECT doc_id, {SQL_BLANKS} AS w FROM documents),
+    p AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, unnest([array_to_string(w[j:j + 19], ' ') FOR j IN range(1, len(w) - 18)]) AS s FROM d),
+    f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS later FROM p),
+    x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+    c AS (SELECT x.*, coalesce(sum(later::INT) OVER (PARTITION BY x.doc_id ORDER BY x.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+        FROM x LEFT JOIN f ON x.doc_id = f.doc_id AND x.i = f.i),
+    k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM c GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k USING (doc_id)""",
+)
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = substrings.drop_repeats(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

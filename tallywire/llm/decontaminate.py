@@ -225,4 +225,4 @@ def find_leaks(
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """`docs` without documents that hold a benchmark item. Rows without an id stay."""
     leaks = written(find_leaks(docs, benchmark, id_col, **how).select(F.col("_id").alias("_leak")).distinct(), "leaks")
-    return docs.join(leaks, F.col(id_col) == F.col("_leak"), "left_anti")
+    return docs.join(leaks, docs[id_col] == leaks["_leak"], "left_anti")

@@ -229,11 +229,11 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         *kept, html = batch.columns
         texts = pa.array((main_text(x.as_py()) for x in html), pa.string())
-        yield pa.RecordBatch.from_arrays([*kept, texts], [*batch.schema.names[:-1], "_text"])
+        yield pa.RecordBatch.from_arrays([*kept, texts], batch.schema.names)
 
 
-def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """`pages` with the column _text instead of the html column. One pass, no shuffle."""
-    kept = [F.col(c) for c in pages.columns if c != html_col]
-    frame = pages.select(*kept, F.col(html_col).alias("_html"))
-    return frame.mapInArrow(_extracted, frame.drop("_html").withColumn("_text", F.lit("")).schema)
+def extract_text(pages: DataFrame, html_col: str = "html", to: str = "main_text") -> DataFrame:
+    """`pages` with the column `to` in place of the html column and of any of that name. One pass, no shuffle."""
+    kept = [c for c in pages.columns if c not in (html_col, to)]
+    frame = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(html_col).alias(to))
+    return frame.mapInArrow(_extracted, frame.withColumn(to, F.col(to).cast("string")).schema)

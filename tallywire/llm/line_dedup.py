@@ -5,7 +5,8 @@ again by line position. Only hashes, ids and positions are shuffled before the l
 the documents hold is folded by task before it is counted, and its join to the positions is split by adaptive execution.
 
 Edge cases: null and empty texts are one empty line. Keys shorter than `min_chars` never count. Rows of one id are
-one document, whatever their texts; a null id is a document of its own, before all others. Extra columns pass.
+one document, whatever their texts; a null id is a document of its own, before all others. Extra columns pass; n_lines and n_dropped
+replace columns of these names.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywire.llm.text import kept_positions, lower_ascii, text_key, trim_spaces, words_at, written
+from tallywire.llm.text import kept_positions, lower_ascii, packed, text_key, trim_spaces, unpacked, words_at, written
 
 
 def lines_of(text: Column) -> Column:
@@ -53,18 +54,24 @@ def dedup_lines(
         .groupBy("_doc", "_row")
         .agg(F.collect_set("_pos").alias("_drop"))
     )
-    tagged = docs.withColumns({"_key_row": text_key(F.col(text_col)), "_key_doc": F.col(id_col)})
+    tagged = docs.select(
+        packed(docs, text_col),
+        F.col(id_col).alias("_key_doc"),
+        text_key(F.col(text_col)).alias("_key_row"),
+        F.coalesce(text_col, F.lit("")).alias("_text"),
+    )
     joined = tagged.join(
         drops, F.col("_key_doc").eqNullSafe(F.col("_doc")) & (F.col("_key_row") == F.col("_row")), "left"
     )
-    parts = joined.withColumn("_lines", lines_of(F.col(text_col))).withColumn(
+    parts = joined.withColumn("_lines", lines_of(F.col("_text"))).withColumn(
         "_keep", kept_positions(F.size("_lines"), F.col("_drop"))
     )
-    text = F.when(F.col("_drop").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(
-        F.array_join(words_at(F.col("_lines"), F.col("_keep")), "\n")
-    )
+    left = F.array_join(words_at(F.col("_lines"), F.col("_keep")), "\n")
     return parts.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size("_keep")).cast("long").alias("n_dropped"),
+        *unpacked(
+            docs,
+            **{text_col: F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(left)},
+            n_lines=F.size("_lines").cast("long"),
+            n_dropped=(F.size("_lines") - F.size("_keep")).cast("long"),
+        )
     )

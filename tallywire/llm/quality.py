@@ -18,12 +18,10 @@ several labels of one id the lowest counts. Null strata form a stratum. No label
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywire.llm.text import words_of, written
+from tallywire.llm.text import packed, text_key, unpacked, words_of, written
 
 RULES = ("symbols", "punctuation", "capitals", "repeated_lines", "repeated_words")
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -191,15 +189,22 @@ def with_verdict(signals: DataFrame, cutoffs: DataFrame, stratum_col: str = "lan
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", **how) -> DataFrame:
-    """id, stratum, base figures, signals and kept of every row; the signals are written once and read twice."""
-    narrow = docs.select(F.col(id_col), F.col(stratum_col), F.col(text_col))
+    """id, stratum, _row (tells the texts of one id apart), base figures, signals and kept of every row.
+
+    The signals are written once and read twice: to fit the cutoffs and to apply them.
+    """
+    narrow = docs.select(F.col(id_col), F.col(stratum_col), F.col(text_col), text_key(F.col(text_col)).alias("_row"))
     signals = written(with_signals(narrow, text_col).drop(text_col), "signals")
     return with_verdict(signals, fit_cutoffs(signals, labels, stratum_col, id_col, **how), stratum_col)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", **how: Mapping) -> DataFrame:
-    """`docs` without the rejected rows. Signals are computed again beside the texts, which saves shuffling those."""
-    narrow = docs.select(F.col(id_col), F.col(stratum_col), F.col(text_col))
-    signals = written(with_signals(narrow, text_col).drop(text_col), "signals")
-    cutoffs = fit_cutoffs(signals, labels, stratum_col, id_col, **how)
-    return with_verdict(with_signals(docs, text_col), cutoffs, stratum_col).where("kept").select(docs.columns)
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", **how) -> DataFrame:
+    """`docs` without the rejected rows."""
+    judged = judge(docs, labels, id_col, text_col, stratum_col, **how)
+    lost = judged.where(~F.col("kept")).select(F.col(id_col).alias("_id"), F.col(stratum_col).alias("_in"), F.col("_row").alias("_lost")).distinct()
+    lost = written(lost, "rejected")
+    tagged = docs.select(
+        packed(docs), F.col(id_col).alias("_key"), F.col(stratum_col).alias("_key_in"), text_key(F.col(text_col)).alias("_key_row")
+    )
+    same = F.col("_key").eqNullSafe(F.col("_id")) & F.col("_key_in").eqNullSafe(F.col("_in")) & (F.col("_key_row") == F.col("_lost"))
+    return tagged.join(lost, same, "left_anti").select(*unpacked(docs))

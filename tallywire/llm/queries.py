@@ -128,7 +128,7 @@ def op8_secrets(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_html")
 def op9_html(spark: SparkSession, sf: str) -> DataFrame:
     found = html_text.extract_text(table(spark, sf, "pages").select("page_id", "url", "html"))
-    return found.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
 
 
 @query("op10_tokens")

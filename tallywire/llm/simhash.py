@@ -177,4 +177,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """
     classes = near_duplicates(docs, id_col, text_col, **how)
     losers = classes.where(F.col("_id") != F.col("component")).select(F.col("_id").alias("_lost")).distinct()
-    return docs.join(written(losers, "near-copies"), F.col(id_col) == F.col("_lost"), "left_anti")
+    losers = written(losers, "near-copies")
+    return docs.join(losers, docs[id_col] == losers["_lost"], "left_anti")

@@ -19,7 +19,7 @@ from end to end. Between the steps only hashes, ids and places are shuffled.
 
 Edge cases: null and empty texts have no words. Documents with fewer words than the window have no repeats. The id is a
 whole number; null comes before all others. Rows of one id are told apart, and ordered, by their texts; repeated rows
-get the same result.
+get the same result. n_words and n_removed replace columns of these names.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywire.llm.decontaminate import shingles_of
-from tallywire.llm.text import kept_positions, ship_code, text_key, words_at, words_of, written
+from tallywire.llm.text import kept_positions, packed, ship_code, text_key, unpacked, words_at, words_of, written
 
 ship_code(__name__)
 
@@ -239,9 +239,11 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         copies.select("_doc", "_row", F.lit(None).cast("array<int>").alias("_drop"), F.lit(True).alias("_copy"))
     )
     marks = written(marks, "removals").select(F.col("_doc").alias("_d"), F.col("_row").alias("_r"), "_drop", "_copy")
-    tagged = docs.withColumns({"_key_doc": _key(id_col), "_key_row": text_key(F.col(text_col))})
+    tagged = docs.select(
+        packed(docs, text_col), _key(id_col).alias("_key_doc"), text_key(F.col(text_col)).alias("_key_row"), F.col(text_col).alias("_text")
+    )
     joined = tagged.join(marks, (F.col("_key_doc") == F.col("_d")) & (F.col("_key_row") == F.col("_r")), "left")
-    parts = joined.withColumn("_words", words_of(F.col(text_col)))
+    parts = joined.withColumn("_words", words_of(F.col("_text")))
     none = F.array().cast("array<int>")
     parts = parts.withColumn(
         "_keep", F.when(F.coalesce("_copy", F.lit(False)), none).otherwise(kept_positions(F.size("_words"), F.col("_drop")))
@@ -250,7 +252,10 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.array_join(words_at(F.col("_words"), F.col("_keep")), " ")
     )
     return parts.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.size("_words").cast("long").alias("n_words"),
-        (F.size("_words") - F.size("_keep")).cast("long").alias("n_removed"),
+        *unpacked(
+            docs,
+            **{text_col: text},
+            n_words=F.size("_words").cast("long"),
+            n_removed=(F.size("_words") - F.size("_keep")).cast("long"),
+        )
     )

@@ -50,6 +50,17 @@ def kept_positions(size: Column, dropped: Column) -> Column:
     return F.when(dropped.isNull(), every).otherwise(F.array_except(every, dropped))
 
 
+def packed(docs: DataFrame, *apart: str) -> Column:
+    """_all: the columns of `docs` but those `apart`, in one struct, so that no working name can clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in apart]).alias("_all")
+
+
+def unpacked(docs: DataFrame, **new: Column) -> list[Column]:
+    """The columns of `docs` out of _all; `new` ones replace those of the same name or follow."""
+    kept = [new[c].alias(c) if c in new else F.col("_all").getField(c).alias(c) for c in docs.columns]
+    return kept + [column.alias(c) for c, column in new.items() if c not in docs.columns]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write below the shared folder and read back: cuts the lineage, and lost executors do not matter."""
     path = scratch_path(df.sparkSession, name)

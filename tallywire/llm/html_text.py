@@ -47,11 +47,14 @@ OUT = frozenset(
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline combx comment comments commentlist "
-    "community consent cookie cookies copyright disqus disclaimer extra feedback foot footer footnav gdpr header login masthead menu "
+    "alert alerts combox community consent cookie cookies copyright disqus disclaimer extra feedback foot footer footnav gdpr header login masthead menu "
     "menus modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo "
-    "promoted promotion recommended related remark replies reply rss share shares sharing shoutbox sidebar sidebars signup "
+    "promoted promotion recommended reactions related remark replies reply respond responses discussion rss share shares sharing shoutbox sidebar sidebars signup "
     "skyscraper social sponsor sponsored subscribe subscription teaser toc toolbar tooltip topbar widget widgets".split()
 )
+ARTICLE_MARKS = frozenset("comment comments reply teaser related ad advert promo sponsored".split())
+BESIDE = frozenset("with has no without hide show near".split())
+STATES = frozenset("open closed enabled disabled visible left right active".split())
 #: elements whose own class does not decide
 ROOTS = frozenset(("html", "body", "main", "article"))
 #: a start tag of the first kind closes an open element of the second, up to the given borders
@@ -72,6 +75,16 @@ CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 NOT_WORD = re.compile(r"[^a-z0-9]+")
 
 
+def _marked(value: str, marks: frozenset) -> bool:
+    """A word of the value names another part of a page, and is not said to be absent or beside ("has-sidebar")."""
+    for text in (value.lower(), CAMEL.sub(" ", value).lower()):
+        words = NOT_WORD.split(text)
+        for i, word in enumerate(words):
+            if word in marks and not (i and words[i - 1] in BESIDE) and not (i + 1 < len(words) and words[i + 1] in STATES):
+                return True
+    return False
+
+
 def _unwanted(name: str, attrs: str) -> bool:
     if name in OUT:
         return True
@@ -86,11 +99,8 @@ def _unwanted(name: str, attrs: str) -> bool:
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if key in ("class", "id") and name not in ROOTS:
-            if not MARKS.isdisjoint(NOT_WORD.split(CAMEL.sub(" ", value).lower())):
-                return True
-        elif key in ("class", "id") and name == "article":
-            if not {"comment", "comments", "reply", "teaser", "related"}.isdisjoint(NOT_WORD.split(CAMEL.sub(" ", value).lower())):
+        if key in ("class", "id") and (name not in ROOTS or name == "article"):
+            if _marked(value, MARKS if name != "article" else ARTICLE_MARKS):
                 return True
     return False
 

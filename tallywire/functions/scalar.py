@@ -54,8 +54,9 @@ def square(c: Column | str) -> Column:
 
 
 def parse_tx_time(c: Column | str) -> Column:
-    """Text to timestamp; midnight written as 24:00:00 becomes 23:59:59, unparsable text null."""
-    return F.regexp_replace(as_col(c), "24:00:00", "23:59:59").try_cast("timestamp")
+    """Text 'yyyy-MM-dd HH:mm:ss' to timestamp; midnight written as 24:00:00 becomes 23:59:59, other text null."""
+    text = F.regexp_replace(as_col(c), "24:00:00", "23:59:59")
+    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
 def epoch(c: Column | str) -> Column:

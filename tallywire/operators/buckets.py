@@ -18,6 +18,7 @@ from tallywire.operators.skew import HOT_RUNNING, same_keys, split_hot
 from tallywire.operators.windows import Frames
 
 BUCKET = "_bucket"
+KEYS = "_keys"
 
 #: which sums an aggregate needs
 NEEDS = {
@@ -80,8 +81,8 @@ def _bucket_table(df: DataFrame, keys: list[str], specs: Sequence[BucketSpec]) -
 
 
 def join_buckets(df: DataFrame, buckets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with the aggregate of their bucket. The bucket table grows with the data: no broadcast hint."""
-    return df.join(buckets, [*keys, BUCKET], "left")
+    """Rows with the aggregate of their bucket, null keys included. The bucket table grows with the data: no hint."""
+    return same_keys(df, buckets, [*keys, BUCKET])
 
 
 def bucket_running(
@@ -120,11 +121,12 @@ def bucketed_multi(
     Columns `{prefix}_{target}_{cn,sum,avg,std}_{frame}`; an empty frame gives 0, `std` is the population
     deviation. Equal to the same frames over the bucket start of every row.
     """
-    keys = list(keys)
     ends = {s.end_of_current for s in specs if s.include_current}
     if len(ends) > 1:
         raise ValueError("specs that include the current bucket must share end_of_current")
-    df = df.withColumn(BUCKET, bucket_of(time, width))
+    # a struct equals another with the same nulls: one plain key that windows, folds and joins share
+    df = df.withColumns({KEYS: F.struct(*keys), BUCKET: bucket_of(time, width)})
+    keys = [KEYS]
 
     by_bucket = Window.partitionBy(*keys).orderBy(BUCKET)
     past: dict[str, Column] = {}
@@ -139,11 +141,11 @@ def bucketed_multi(
     columns = df.columns
     if running:
         df = bucket_running(df, keys, time, running, ends.pop(), hot_rows)
-    df = join_buckets(df, buckets, keys)
+    df = df.join(buckets, [KEYS, BUCKET], "left")
 
     # totals first, results from the totals: shared values are computed once, and the generated methods
     # stay small enough for the JVM to compile
-    keep = [c for c in columns if c != BUCKET]
+    keep = [c for c in columns if c not in (KEYS, BUCKET)]
     totals: dict[str, Column] = {}
     made: dict[str, Column] = {}
     for s in specs:

@@ -95,7 +95,8 @@ def with_clean_time(df: DataFrame) -> DataFrame:
 
 
 def clean_rows(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    """Raw rows (with the corrupt column) to the clean table."""
-    df = dedup(drop_corrupt(df), ["transaction_id"], order)
-    df = valid(with_sentinels(parse_time(df)))
+    """Raw rows (with the corrupt column) to the clean table. Copies of an id are compared after validation, so a
+    broken copy never displaces a valid one."""
+    df = valid(with_sentinels(parse_time(drop_corrupt(df))))
+    df = dedup(df, ["transaction_id"], order)
     return with_clean_time(df.withColumn("tx_fraud", F.col("tx_fraud").cast("boolean")))

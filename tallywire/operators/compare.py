@@ -133,7 +133,8 @@ def two_sided_p(t: Column, dof: Column) -> Column:
     even_area = F.sin(theta) * series
     odd_area = (theta + F.when(dof > 1, F.sin(theta) * F.cos(theta) * series).otherwise(0.0)) * (2 / math.pi)
     inside = F.when(odd, odd_area).otherwise(even_area)
-    return F.greatest(F.lit(0.0), 1 - inside)
+    # greatest skips nulls: without a statistic there is no p value
+    return F.when(t.isNotNull() & (dof > 0), F.greatest(F.lit(0.0), 1 - inside))
 
 
 def compare(
@@ -148,7 +149,8 @@ def compare(
     """One row per metric: t statistic, p value, Cohen's d, significance, means, improvement.
 
     `scores` is the bootstrap table of both models. The default is the equal-variance two-sample test;
-    `paired` tests the differences per replicate instead, which the shared resamples allow.
+    `paired` tests the differences per replicate instead, which the shared resamples allow. Without a spread, or
+    with fewer than two replicates, there is no statistic, and nothing is significant.
     """
     long = scores.where(F.col(by).isin(base, candidate)).unpivot(
         [by, "replicate"], list(metrics), "metric", "value"
@@ -181,7 +183,7 @@ def compare(
         "t_statistic",
         "p_value",
         safe_div(F.abs(gap), safe_sqrt((v1 + v2) / 2)).alias("effect_size"),
-        (F.col("p_value") < alpha).alias("is_significant"),
+        F.coalesce(F.col("p_value") < alpha, F.lit(False)).alias("is_significant"),
         "base_mean",
         "candidate_mean",
         (-gap).alias("improvement"),

@@ -23,7 +23,7 @@ from tallywire.functions import (
 from tallywire.operators.buckets import BucketSpec, bucketed_multi
 from tallywire.operators.skew import HOT_RUNNING, HOT_SLIDING, same_keys, split_hot
 from tallywire.operators.windows import Frames, rolling_by_second, rolling_columns, with_windows
-from tallywire.schemas import FEATURE
+from tallywire.schemas import FEATURE, RATIO_COLUMNS
 
 TIME, AMOUNT, LABEL = "unix_time", "tx_amount", "tx_fraud"
 CUSTOMER, TERMINAL = "customer_id", "terminal_id"
@@ -34,19 +34,6 @@ CUSTOMER_CURRENT: Frames = {"7d_full": (-WEEK, 0), "1d_full": (-DAY, 0), "1h_ful
 CUSTOMER_HISTORY: Frames = {"30d_hist": (-MONTH, -WEEK), "7d_hist": (-WEEK, -DAY), "1d_hist": (-DAY, -HOUR)}
 RISK: Frames = {"1d_full": (-WEEK - DAY, -WEEK), "7d_full": (-2 * WEEK, -WEEK), "21d_full": (-MONTH, -WEEK)}
 
-# The average and deviation columns the amount is compared with.
-RATIO_COLUMNS = [
-    "term_tx_amount_avg_30d_hist",
-    "term_tx_amount_avg_7d_hist",
-    "term_tx_amount_std_30d_hist",
-    "term_tx_amount_std_7d_hist",
-    "tx_amount_avg_cust_30d_hist",
-    "tx_amount_std_cust_30d_hist",
-    "tx_amount_avg_cust_7d_hist",
-    "tx_amount_std_cust_7d_hist",
-]
-
-
 def terminal_current_frames(width: int = HOUR) -> Frames:
     """Published bounds: the bucket just before the current one is left out."""
     return {
@@ -175,32 +162,22 @@ def terminal_new_customers(df: DataFrame, cfg: FeatureConfig = FeatureConfig())
 def terminal_risk(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
     """Fraud share of the terminal as known a week later, when labels have arrived."""
     df = bucketed_multi(df, [TERMINAL], TIME, [risk_spec()], cfg.width, cfg.hot_bucket_rows)
-    return delayed_risk(df, risk_pairs())
-
+    return with_risk(df)
 
-def risk_pairs() -> list[tuple[str, str]]:
-    spec = risk_spec()
-    return [(spec.column("sum", frame), spec.column("cn", frame)) for frame in spec.frames]
 
-
-def delayed_risk(df: DataFrame, pairs: Sequence[tuple[str, str]], drop: bool = True) -> DataFrame:
-    """`{count}_delay` and risk = sum / count (0 without rows) for each (sum, count) pair."""
-    made: dict[str, Column] = {}
-    for total, count in pairs:
-        made[f"{count}_delay"] = zero_if_null(count)
-        made[f"{total.replace('_sum_', '_risk_')}_delay"] = safe_div(total, count, 0)
-    df = df.withColumns(made)
-    return df.drop(*[c for pair in pairs for c in pair]) if drop else df
+def with_risk(df: DataFrame) -> DataFrame:
+    """For every frame of RISK: rows of the terminal and the share of frauds among them (0 without rows), in place
+    of the frame's count and sum."""
+    counts, frauds = ({f: f"fraud_{LABEL}_{a}_{f}" for f in RISK} for a in ("cn", "sum"))
+    shares = {f"fraud_{LABEL}_risk_{f}_delay": safe_div(frauds[f], counts[f], 0) for f in RISK}
+    rows = {f"{counts[f]}_delay": zero_if_null(counts[f]) for f in RISK}
+    return df.withColumns({**rows, **shares}).drop(*counts.values(), *frauds.values())
 
 
 def ratios(df: DataFrame, target: str, columns: Sequence[str], drop: bool = False) -> DataFrame:
-    """target / column; a null or zero column is replaced by the target itself."""
-    target_col = F.col(target)
-    made = {
-        f"ratio_{c}": safe_div(target_col, F.when(F.col(c) != 0, F.col(c)).otherwise(target_col))
-        for c in columns
-    }
-    df = df.withColumns(made)
+    """target / column; a null or zero column counts as the target itself."""
+    against = {c: F.coalesce(F.nullif(F.col(c), F.lit(0)), F.col(target)) for c in columns}
+    df = df.withColumns({f"ratio_{c}": safe_div(F.col(target), x) for c, x in against.items()})
     return df.drop(*columns) if drop else df
 
 
@@ -229,7 +206,7 @@ def build_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), good: in
     df = customer_features(df, cfg.hot_customer_rows)
     specs = [current_spec(cfg), history_spec(cfg), *new_customer_specs(cfg), risk_spec()]
     df = bucketed_multi(df, [TERMINAL], TIME, specs, cfg.width, cfg.hot_bucket_rows)
-    df = delayed_risk(df, risk_pairs())
+    df = with_risk(df)
     if good is not None:
         df = trim_warmup(df, good)
     df = with_flags(with_cyclic(with_calendar(df)))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywire.functions import safe_div
-from tallywire.operators.skew import join_checked
+from tallywire.operators.skew import same_keys
 from tallywire.operators.timeline import running_counts
 
 # Default upper bounds of a latency histogram, in seconds.
@@ -50,7 +50,7 @@ def fraud_share(
 def trim_outliers(df: DataFrame, by: str, col: str, k: float = 3) -> DataFrame:
     """Rows at most k times the mean of their group; means are folded map-side and joined back."""
     means = df.groupBy(by).agg(F.avg(col).alias("_mean"))
-    return join_checked(df, means, [by]).where(F.col(col) <= F.col("_mean") * k).drop("_mean")
+    return same_keys(df, means, [by]).where(F.col(col) <= F.col("_mean") * k).drop("_mean")
 
 
 def throughput(df: DataFrame, time: str = "unix_time") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Hot keys and size-checked joins.
+"""Hot keys and null-safe joins.
 
 A window sends all rows of a key to one task. The operators therefore measure first which keys hold more
 rows than one task should take, run the plain window on the rest, and give the hot keys a plan whose
@@ -27,17 +27,6 @@ def same_keys(df: DataFrame, other: DataFrame, keys: list[str], how: str = "left
     return df.join(other.withColumnsRenamed(names), match, how).drop(*names.values())
 
 
-def join_checked(
-    df: DataFrame, other: DataFrame, keys: list[str], how: str = "left", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """`same_keys`, broadcasting `other` only when its measured row count is within `max_rows`.
-
-    Above the bound the join shuffles, and adaptive execution splits its skewed partitions.
-    """
-    small = other.limit(max_rows + 1).count() <= max_rows
-    return same_keys(df, F.broadcast(other) if small else other, keys, how)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Rows dealt evenly over the session's shuffle partitions, for work that costs far more per row than
     moving the row."""

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywire.functions import HOUR, bucket_of, safe_div, safe_sqrt, square
 from tallywire.operators.skew import HOT_SLIDING, same_keys, split_hot
@@ -95,35 +94,58 @@ def rolling(
 #
 #     the end of the bucket of t+lo | whole buckets between | the start of the bucket of t+hi
 #
-# The outer parts come from running sums inside each (key, bucket), read at the probe times t+lo and
+# The outer parts come from running frames inside each (key, bucket), read at the probe times t+lo and
 # t+hi; the middle from a frame over the small bucket table. No group holds more rows than a bucket has
-# seconds times the number of probes, however many rows the key has. Sums are added up, never
-# subtracted, so nothing cancels.
+# seconds times the number of probes, however many rows the key has.
+#
+# Spread is carried as (n, mean, m2) and parts are merged by the pairwise formula, so no large squares are
+# subtracted. Inside a bucket, running sums are taken around a value that lies in every frame that ends there
+# (the bucket's last second for ends, its first for starts): m2 then loses at most the digits of the number
+# of seconds in a bucket.
+
+_SUMS = ("rows", "vals", "sum")
+
+
+def _merged(x: Column, y: Column) -> Column:
+    """Moments of two parts; a part without values has n 0 or is null."""
+    n = F.coalesce(x["n"], F.lit(0)) + F.coalesce(y["n"], F.lit(0))
+    apart = y["mean"] - x["mean"]
+    both = F.struct(
+        n.alias("n"),
+        (x["mean"] + apart * y["n"] / n).alias("mean"),
+        (x["m2"] + y["m2"] + square(apart) * x["n"] * y["n"] / n).alias("m2"),
+    )
+    empty_x, empty_y = (F.coalesce(z["n"], F.lit(0)) == 0 for z in (x, y))
+    return F.when(empty_x, y).when(empty_y, x).otherwise(both)
 
-_FOLD = {
-    "rows": F.sum,
-    "vals": F.sum,
-    "sum": F.sum,
-    "sq": F.sum,
-    "gap": F.sum,
-    "min": F.min,
-    "max": F.max,
-}
 
+def _moments(n: Column, mean: Column, m2: Column) -> Column:
+    return F.struct(n.cast("double").alias("n"), mean.alias("mean"), m2.alias("m2"))
 
-def _fold(window: WindowSpec | None = None) -> list[Column]:
-    folded = {p: fold(f"_{p}") for p, fold in _FOLD.items()}
-    return [(c if window is None else c.over(window)).alias(f"_{p}") for p, c in folded.items()]
 
+def _part(window: WindowSpec, around: str) -> Column:
+    """What a frame of seconds inside a bucket holds; `around` is the middle value for the spread."""
+    n = F.sum("_vals").over(window)
+    gap = F.sum(F.col("_vals") * (F.col("_mean") - F.col(around))).over(window)
+    off = F.sum(F.col("_vals") * (F.col("_var") + square(F.col("_mean") - F.col(around)))).over(window)
+    return F.struct(
+        *[F.sum(f"_{p}").over(window).alias(p) for p in _SUMS],
+        F.min("_min").over(window).alias("min"),
+        F.max("_max").over(window).alias("max"),
+        _moments(n, F.col(around) + safe_div(gap, n), off - safe_div(square(gap), n)).alias("spread"),
+    )
 
-def _add(part: str, pieces: list[Column]) -> Column:
-    if part in ("min", "max"):
-        if len(pieces) == 1:
-            return pieces[0]
-        pick = F.least if part == "min" else F.greatest
-        return pick(*pieces)
-    filled = [F.coalesce(p, F.lit(0)) for p in pieces]
-    return reduce(lambda a, b: a + b, filled)
+
+def _middle(window: WindowSpec) -> Column:
+    """What a frame of whole buckets holds; their moments are merged one after the other."""
+    cells = F.collect_list("_spread").over(window)
+    start = _moments(F.lit(0), F.lit(0.0), F.lit(0.0))
+    return F.struct(
+        *[F.sum(f"_{p}").over(window).alias(p) for p in _SUMS],
+        F.min("_min").over(window).alias("min"),
+        F.max("_max").over(window).alias("max"),
+        F.aggregate(cells, start, _merged).alias("spread"),
+    )
 
 
 def rolling_by_second(
@@ -138,25 +160,19 @@ def rolling_by_second(
     """The rolling columns once per (keys, time), by the bucket decomposition above."""
     keys = list(keys)
     sliding = [a for a in aggs if a != "isnew"]
-
-    seconds = df.groupBy(*keys, time).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count(target).alias("_vals"),
-        F.sum(target).alias("_sum"),
-        F.avg(target).alias("_mean"),
-        F.var_pop(target).alias("_var"),
-        F.min(target).alias("_min"),
-        F.max(target).alias("_max"),
-    )
-    out = seconds.select(*keys, time)
-    if sliding:
-        # deviations are taken around the key's mean, which leaves them unchanged and keeps squares small
-        centre = seconds.groupBy(*keys).agg(safe_div(F.sum("_sum"), F.sum("_vals")).alias("_centre"))
-        off = F.col("_mean") - F.col("_centre")
-        centred = same_keys(seconds, centre, keys).withColumns(
-            {"_gap": F.col("_vals") * off, "_sq": F.col("_vals") * (F.col("_var") + square(off))}
+    if not sliding:
+        out = df.select(*keys, time).distinct()
+    else:
+        seconds = df.groupBy(*keys, time).agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.count(target).alias("_vals"),
+            F.sum(target).alias("_sum"),
+            F.avg(target).alias("_mean"),
+            F.var_pop(target).alias("_var"),
+            F.min(target).alias("_min"),
+            F.max(target).alias("_max"),
         )
-        out = _three_part_frames(centred, keys, time, target, frames, sliding, prefix)
+        out = _three_part_frames(seconds, keys, time, target, frames, sliding, prefix)
     if "isnew" in aggs:
         out = with_windows(out, *rolling_columns(keys, time, target, frames, ["isnew"], prefix))
     return out
@@ -174,35 +190,42 @@ def _three_part_frames(
     # both ends of a frame must fall into different buckets, or be the same second
     width = max(1, min(HOUR, min(hi - lo for lo, hi in frames.values())))
     offsets = sorted({o for frame in frames.values() for o in frame})
+    stats = ["_rows", "_vals", "_sum", "_mean", "_var", "_min", "_max"]
 
-    # probes: one per (second, offset), standing at time + offset; data rows have no offset
-    probes = seconds.select(
+    # every second stands on the line once with its data and once per offset as a probe at time + offset
+    places = F.explode(F.array(F.lit(None).cast("int"), *[F.lit(o) for o in offsets])).alias("_offset")
+    is_data = F.col("_offset").isNull()
+    line = seconds.select("*", places).select(
         *keys,
-        F.explode(F.array(*[F.lit(o) for o in offsets])).alias("_offset"),
+        "_offset",
         F.col(time).alias("_origin"),
-    ).withColumn("_at", F.col("_origin") + F.col("_offset"))
-    data = seconds.select(*keys, F.col(time).alias("_at"), *[f"_{p}" for p in _FOLD])
-    line = data.unionByName(probes, allowMissingColumns=True).withColumn("_cell", bucket_of("_at", width))
-    # "since" runs backwards in time, because a frame up to unboundedFollowing is recomputed per row
+        (F.col(time) + F.coalesce("_offset", F.lit(0))).alias("_at"),
+        *[F.when(is_data, F.col(c)).alias(c) for c in stats],
+    )
+    line = line.withColumn("_cell", bucket_of("_at", width))
     inside = Window.partitionBy(*keys, "_cell")
+    whole = inside.orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    line = line.withColumns(
+        {"_first": F.first("_mean", True).over(whole), "_last": F.last("_mean", True).over(whole)}
+    )
+    # "since" runs backwards in time, because a frame up to unboundedFollowing is recomputed per row
     upto = inside.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
     since = inside.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, 0)
     edges = (
-        line.select(
-            *keys,
-            "_origin",
-            "_offset",
-            F.struct(*_fold(upto)).alias("upto"),
-            F.struct(*_fold(since)).alias("since"),
-        )
+        line.select(*keys, "_origin", "_offset", _part(upto, "_first").alias("upto"), _part(since, "_last").alias("since"))
         .where(F.col("_offset").isNotNull())
         .groupBy(*keys, "_origin")
         .agg(F.map_from_entries(F.collect_list(F.struct("_offset", F.struct("upto", "since")))).alias("_edges"))
     )
 
     # whole buckets between the two edges, relative to the bucket of the current second
-    cells = (
-        seconds.withColumn("_cell", bucket_of(time, width)).groupBy(*keys, "_cell").agg(*_fold())
+    own = F.struct(F.col("_vals").cast("double").alias("n"), F.col("_mean").alias("mean"), (F.col("_var") * F.col("_vals")).alias("m2"))
+    cells = seconds.withColumn("_cell", bucket_of(time, width)).groupBy(*keys, "_cell").agg(
+        *[F.sum(f"_{p}").alias(f"_{p}") for p in _SUMS],
+        F.min("_min").alias("_min"),
+        F.max("_max").alias("_max"),
+        # at most as many seconds as a bucket has
+        F.aggregate(F.collect_list(own), _moments(F.lit(0), F.lit(0.0), F.lit(0.0)), _merged).alias("_spread"),
     )
     by_cell = Window.partitionBy(*keys).orderBy("_cell")
 
@@ -210,7 +233,7 @@ def _three_part_frames(
         return sorted({offset // width * width, -(-offset // width) * width})
 
     middles = {
-        (name, a, b): F.struct(*_fold(by_cell.rangeBetween(a + width, b - width)))
+        (name, a, b): _middle(by_cell.rangeBetween(a + width, b - width))
         for name, (lo, hi) in frames.items()
         for a in shifts(lo)
         for b in shifts(hi)
@@ -222,7 +245,7 @@ def _three_part_frames(
     joined = same_keys(
         edges.withColumn("_cell", bucket_of("_origin", width)), cells, [*keys, "_cell"]
     )
-    made: dict[str, Column] = {}
+    totals: dict[str, Column] = {}
     for name, (lo, hi) in frames.items():
         left = F.col("_edges")[lo]["since"]
         right = F.col("_edges")[hi]["upto"] if hi > lo else None
@@ -233,22 +256,41 @@ def _three_part_frames(
             if frame == name:
                 here = (step_lo == a) & (step_hi == b)
                 middle = F.when(here, F.col(label)) if middle is None else middle.when(here, F.col(label))
-        pieces = [p for p in (left, middle, right) if p is not None]
-        total = {p: _add(p, [piece[f"_{p}"] for piece in pieces]) for p in _FOLD}
-        made.update(_finish(total, target, f"{prefix}_{name}" if prefix else name, aggs))
-    return joined.select(*keys, F.col("_origin").alias(time), *[c.alias(n) for n, c in made.items()])
+        totals[name] = F.array(*[p for p in (left, middle, right) if p is not None])
+    # the parts stand in columns of their own, so that results refer to them instead of repeating them
+    parted = joined.select(*keys, F.col("_origin").alias(time), *[c.alias(f"_parts_{n}") for n, c in totals.items()])
+    spread = {
+        f"_spread_{n}": F.aggregate(f"_parts_{n}", _moments(F.lit(0), F.lit(0.0), F.lit(0.0)), lambda s, p: _merged(s, p["spread"]))
+        for n in totals
+    }
+    parted = parted.select("*", *[c.alias(n) for n, c in spread.items()])
+    made: dict[str, Column] = {}
+    for name in totals:
+        label = f"{prefix}_{name}" if prefix else name
+        made.update(_finish(f"_parts_{name}", f"_spread_{name}", target, label, aggs, seconds.schema["_sum"].dataType))
+    return parted.select(*keys, time, *[c.alias(n) for n, c in made.items()])
+
+
+def _finish(
+    parts: str, spread: str, target: str, name: str, aggs: Sequence[str], sum_type: T.DataType
+) -> dict[str, Column]:
+    def total(field: str) -> Column:
+        kind = sum_type if field == "sum" else "bigint"
+        zero = F.lit(0).cast(kind)
+        return F.aggregate(parts, zero, lambda s, p: (s + F.coalesce(p[field], zero)).cast(kind))
 
+    def extreme(pick, field: str) -> Column:
+        return pick(F.transform(parts, lambda p: p[field]))
 
-def _finish(total: dict[str, Column], target: str, name: str, aggs: Sequence[str]) -> dict[str, Column]:
-    vals = total["vals"]
-    sum_ = F.when(vals > 0, total["sum"])
-    spread = safe_div(total["sq"] - safe_div(square(total["gap"]), vals), vals - 1)
+    vals = total("vals")
+    sum_ = F.when(vals > 0, total("sum"))
     # a constant frame has deviation 0 exactly, not rounding noise
-    std = F.when(vals > 1, F.when(total["min"] == total["max"], 0.0).otherwise(safe_sqrt(spread)))
+    constant = extreme(F.array_min, "min") == extreme(F.array_max, "max")
+    deviation = safe_sqrt(safe_div(F.col(spread)["m2"], vals - 1))
     made = {
-        "count": total["rows"].cast("bigint"),
+        "count": total("rows"),
         "sum": sum_,
-        "avg": safe_div(sum_, total["rows"]),
-        "std": std,
+        "avg": safe_div(sum_, total("rows")),
+        "std": F.when(vals > 1, F.when(constant, 0.0).otherwise(deviation)),
     }
     return {f"{target}_{SHORT[a]}_{name}": c for a, c in made.items() if a in aggs}

@@ -1,8 +1,12 @@
-"""The batch and stream jobs. Each writes its result first and commits its state last; a rerun after a crash replaces
-the partitions of the unfinished batch, because they are keyed by the start of the batch."""
+"""The batch and stream jobs.
+
+A batch job states its bounds before it writes and commits them last. A run that finds bounds without a commit takes
+these bounds again, whatever its configuration or newer data would give, and replaces the partitions of the unfinished
+batch, which are keyed by its start."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -11,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tallywire.functions import DAY, MONTH, WEEK, fill_numeric
+from tallywire.functions import DAY, MONTH, WEEK, date_of, fill_numeric
 from tallywire.operators.clean import clean_rows, corrupt_report, drop_corrupt, parse_time, quality_report, with_sentinels
 from tallywire.operators.compare import compare_scored
 from tallywire.operators.features import LONGEST_LOOKBACK, FeatureConfig, build_features
@@ -24,15 +28,28 @@ from tallywire.operators.models import (
     search,
     train,
 )
+from tallywire.operators.monitor import next_run_number
 from tallywire.operators.slices import slice_range, span, with_clean_bounds, with_feature_bounds, with_learning_range
 from tallywire.operators.split import split_by_time, time_folds, with_class_weight
-from tallywire.schemas import FEATURE_INPUT, MODEL_INPUTS
-from tallywire.sources.files import read_raw_csv, read_sample, read_table, write_partitioned
-from tallywire.sources.messages import archive_stream, kafka_sink, kafka_source
-from tallywire.sources.state import Registry, input_example, log_run, read_state, save_feature_spec, write_state
-from tallywire.streaming.transforms import StreamConfig, run_stream, score_stream
+from tallywire.schemas import CONTRACT, FEATURE_INPUT, MODEL_INPUTS
+from tallywire.sources.files import hash_sample, read_raw_csv, read_table, write_partitioned
+from tallywire.sources.messages import archive_stream, kafka_sink, kafka_source, rejected_records
+from tallywire.sources.state import RUNS, Registry, input_example, log_run, read_or_empty, read_state, save_feature_spec, write_state
+from tallywire.streaming.transforms import StreamConfig, run_rejects, run_stream, score_stream
+
+DONE, STARTED = "old_end_datetime", "started"
 
-DONE = "old_end_datetime"
+
+def _bounds(spark: SparkSession, state_path: str, fresh: Callable[[int], dict]) -> dict | None:
+    """Bounds of the unfinished batch if there is one, else fresh ones, noted as started; None without enough data."""
+    state = read_state(spark, state_path)
+    if state.get(STARTED):
+        return state[STARTED]
+    bounds = fresh(state.get(DONE, 0))
+    if any(v is None for v in bounds.values()):
+        return None
+    write_state(spark, state_path, {**state, STARTED: bounds})
+    return bounds
 
 
 @dataclass(frozen=True)
@@ -48,14 +65,18 @@ def clean_job(
     spark: SparkSession, in_path: str, out_path: str, state_path: str, cfg: CleanConfig = CleanConfig()
 ) -> dict | None:
     """Raw CSV to the clean table by week. Returns the bounds of the batch, None without enough data."""
-    old = read_state(spark, state_path).get(DONE, 0)
     raw = read_raw_csv(spark, in_path)
-    row = span(raw, "transaction_id")
-    bounds = with_clean_bounds(row, old, cfg.record_limit, cfg.overlap, cfg.batch, cfg.first_batch).first()
-    if bounds["start_id"] is None:
+
+    def fresh(old: int) -> dict:
+        row = span(raw, "transaction_id")
+        row = with_clean_bounds(row, old, cfg.record_limit, cfg.overlap, cfg.batch, cfg.first_batch)
+        return row.select("start_id", "end_id", "keep_from").first().asDict()
+
+    bounds = _bounds(spark, state_path, fresh)
+    if bounds is None:
         return None
     part = slice_range(raw, "transaction_id", bounds["start_id"], bounds["end_id"])
-    result = {"start_id": bounds["start_id"], "end_id": bounds["end_id"], "keep_from": bounds["keep_from"]}
+    result = dict(bounds)
     if cfg.report:
         result["corrupt"] = corrupt_report(part).first().asDict()
         result["quality"] = quality_report(with_sentinels(parse_time(drop_corrupt(part)))).first().asDict()
@@ -79,12 +100,15 @@ def feature_job(
     spark: SparkSession, in_path: str, out_path: str, state_path: str, cfg: FeatureJobConfig = FeatureJobConfig()
 ) -> dict | None:
     """Clean table to feature rows by date. Returns the bounds of the batch, None without enough data."""
-    old = read_state(spark, state_path).get(DONE, 0)
     table = read_table(spark, in_path)
-    bounds = with_feature_bounds(
-        span(table, "unix_time"), old, cfg.overlap, cfg.time_limit, cfg.batch, cfg.first_batch
-    ).first()
-    if bounds["start_time"] is None:
+
+    def fresh(old: int) -> dict:
+        row = span(table, "unix_time")
+        row = with_feature_bounds(row, old, cfg.overlap, cfg.time_limit, cfg.batch, cfg.first_batch)
+        return row.select("start_time", "end_time", "good_time").first().asDict()
+
+    bounds = _bounds(spark, state_path, fresh)
+    if bounds is None:
         return None
     week = "week" if "week" in table.columns else None
     rows = slice_range(table, "unix_time", bounds["start_time"], bounds["end_time"], week=week)
@@ -92,12 +116,13 @@ def feature_job(
     features = features.withColumn("batch", F.lit(bounds["good_time"]).cast("bigint"))
     write_partitioned(features, out_path, ["date", "batch"], "unix_time", "overwrite-partitions")
     write_state(spark, state_path, {DONE: bounds["end_time"]})
-    return {k: bounds[k] for k in ("start_time", "end_time", "good_time")}
+    return bounds
 
 
 @dataclass(frozen=True)
 class TrainConfig:
     name: str = "fraud_model"
+    #: share of the training part that search and fit see; evaluation and comparison take every row
     fraction: float = 0.1
     seed: int = 42
     learn: int = WEEK
@@ -115,15 +140,24 @@ class TrainConfig:
 
 
 def learning_rows(spark: SparkSession, in_path: str, cfg: TrainConfig) -> DataFrame | None:
-    """Sampled feature rows of the training range, nulls as 0; None when the span is too short."""
+    """Feature rows of the training range, nulls as 0; None when the span is too short.
+
+    The range ends with the table, so only its last dates are read: dates come from the partitions, times from the
+    first and the last date.
+    """
     cols = ["transaction_id", "tx_fraud", "unix_time", *MODEL_INPUTS]
-    rows = read_sample(spark, in_path, cfg.fraction, cfg.seed, cols)
-    bounds = with_learning_range(
-        span(rows, "unix_time"), cfg.learn, cfg.min_predict, cfg.max_predict
-    ).first()
+    rows = read_table(spark, in_path)
+    if "date" not in rows.columns:
+        rows = rows.withColumn("date", date_of("unix_time"))
+    days = rows.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+    if days["last"] is None:
+        return None
+    ends = rows.where(F.col("date").isin(days["first"], days["last"]))
+    bounds = with_learning_range(span(ends, "unix_time"), cfg.learn, cfg.min_predict, cfg.max_predict).first()
     if bounds["start_time"] is None:
         return None
-    return fill_numeric(rows.where(F.col("unix_time") >= bounds["start_time"]), 0)
+    start, end = int(bounds["start_time"]), int(bounds["end_time"])
+    return fill_numeric(slice_range(rows, "unix_time", start, end + 1, date="date").select(*cols), 0)
 
 
 def train_job(
@@ -136,7 +170,8 @@ def train_job(
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train_part, test_part = split_by_time(rows, cfg.ratio)
-        weighted = with_class_weight(train_part)
+        # the bound on rows is for the fit; both parts are judged whole
+        weighted = with_class_weight(hash_sample(train_part, "transaction_id", cfg.fraction, cfg.seed))
         folds = [
             r[1:] for r in time_folds(weighted, "unix_time", cfg.n_folds, cfg.val_ratio, cfg.gap).collect()
         ]
@@ -150,13 +185,24 @@ def train_job(
         version = registry.register(model, cfg.name, metrics)
         save_feature_spec(spark, MODEL_INPUTS, f"{registry_path}/features/version={version}")
         example.coalesce(1).write.mode("overwrite").json(f"{registry_path}/examples/version={version}")
+        logged = {"fill_value": 0, "best_f1": trials[0]["mean_f1"], "run_number": _next_run(spark, registry_path)}
+        for i, trial in enumerate(trials):
+            logged |= {f"trial_{i}_{k}": v for k, v in trial.items()}
         params = {k: trials[0][k] for k in ("maxDepth", "maxIter", "stepSize")}
-        log_run(spark, f"{registry_path}/runs", f"{cfg.name}_v{version}", params, metrics)
+        log_run(spark, f"{registry_path}/runs", f"{cfg.name}_v{version}", params, {**metrics, **logged})
+        for name in ("confusion", "confusion_09"):
+            tables[name].coalesce(1).write.mode("overwrite").parquet(f"{registry_path}/{name}/version={version}")
     finally:
         rows.unpersist()
     return {"version": version, "trials": trials, "metrics": metrics}
 
 
+def _next_run(spark: SparkSession, registry_path: str) -> int:
+    """Runs so far and one."""
+    runs = read_or_empty(spark, f"{registry_path}/runs", RUNS).select("run").distinct()
+    return next_run_number(runs).first()["run_number"]
+
+
 def score_both(df: DataFrame, base: PipelineModel, candidate: PipelineModel) -> DataFrame:
     """Label, id, time and both models' prediction and score side by side."""
     first = score(df, base, "base").withColumnsRenamed({"prediction": "pred_a", "prob_1": "score_a"})
@@ -193,6 +239,7 @@ def ab_job(
         ship = decision.first()["should_deploy"]
     finally:
         scored.unpersist()
+    metrics |= {"should_deploy": int(ship), "run_number": _next_run(spark, registry_path)}
     log_run(spark, f"{registry_path}/runs", f"ab_v{best}_v{latest}", {"best": best, "latest": latest}, metrics)
     if ship:
         registry.promote(cfg.name, latest, best)
@@ -208,15 +255,28 @@ def score_job(
     registry_path: str,
     name: str = "fraud_model",
     security: dict[str, str] | None = None,
-) -> DataStreamWriter:
-    """Feature messages to prediction messages with the best model; start the returned writer."""
+    rejects: str | None = None,
+    max_offsets: int | None = None,
+) -> list[DataStreamWriter]:
+    """Feature messages to prediction messages with the best model; start the returned writers.
+
+    With a folder `rejects` the second writer puts the records there that cannot be scored, with their reasons.
+    """
     registry = Registry(spark, registry_path)
     version = registry.resolve(name, "best")
     if version is None:
         raise LookupError(f"no model named {name} in {registry_path}")
-    messages = kafka_source(spark, servers, topic_in, security)
+    messages = kafka_source(spark, servers, topic_in, security, max_offsets=max_offsets)
     scored = score_stream(messages, registry.load(name, version), str(version))
-    return kafka_sink(scored, servers, topic_out, checkpoint, security)
+    writers = [kafka_sink(scored, servers, topic_out, checkpoint, security)]
+    return writers + _reject_writers(rejected_records(messages, CONTRACT), rejects, checkpoint)
+
+
+def _reject_writers(rows: DataFrame, path: str | None, checkpoint: str) -> list[DataStreamWriter]:
+    if not path:
+        return []
+    writer = rows.writeStream.format("parquet").option("path", path).outputMode("append")
+    return [writer.option("checkpointLocation", f"{checkpoint.rstrip('/')}-rejects")]
 
 
 def archive_job(
@@ -240,7 +300,10 @@ def stream_job(
     checkpoint: str,
     security: dict[str, str] | None = None,
     cfg: StreamConfig = StreamConfig(),
-) -> DataStreamWriter:
-    """Topic to topic; start the returned writer."""
-    messages = kafka_source(spark, servers, topic_in, security)
-    return kafka_sink(run_stream(messages, cfg), servers, topic_out, checkpoint, security)
+    rejects: str | None = None,
+    max_offsets: int | None = None,
+) -> list[DataStreamWriter]:
+    """Topic to topic; start the returned writers. With a folder `rejects` the second one keeps what was left out."""
+    messages = kafka_source(spark, servers, topic_in, security, max_offsets=max_offsets)
+    writers = [kafka_sink(run_stream(messages, cfg), servers, topic_out, checkpoint, security)]
+    return writers + _reject_writers(run_rejects(messages, cfg), rejects, checkpoint)

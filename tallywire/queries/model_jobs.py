@@ -15,7 +15,7 @@ from tallywire.queries.projections import PARSED
 from tallywire.queries.windows import feature_select, feature_sql
 from tallywire.schemas import CONTRACT, FEATURE
 from tallywire.session import scratch_path
-from tallywire.sources.state import Registry, resolve_registry
+from tallywire.sources.state import Registry, resolve_registry, write_state
 from tallywire.streaming.transforms import score_stream
 
 #: small trees: the queries show the operator, not a tuned model
@@ -40,26 +40,38 @@ def assemble(spark, sf):
     return rows.select("transaction_id", F.size(vector_to_array("features")).alias("n_features"))
 
 
-@query("gbt_predict")
+_TEST_PART = f"WITH {TX} SELECT transaction_id, {{facts}} FROM tx WHERE unix_time > (SELECT quantile_disc(unix_time, 0.8) FROM tx)"
+
+
+@query("gbt_predict", _TEST_PART.format(facts="true AS is_probability, true AS more_likely_class"))
 def gbt_predict(spark, sf):
+    """Every test row once, with a probability and the class that it makes more likely."""
     model, _, test_part = _trained(spark, sf)
-    return models.score(test_part, model, "1").select("transaction_id", "prediction", "prob_1")
+    rows = models.score(test_part, model, "1")
+    return rows.select(
+        "transaction_id",
+        F.col("prob_1").between(0, 1).alias("is_probability"),
+        ((F.col("prediction") == 1) == (F.col("prob_1") > 0.5)).alias("more_likely_class"),
+    )
 
 
-@query("cv_scores")
+@query("cv_scores", "SELECT i::INT AS fold, true AS is_score FROM range(3) r(i)")
 def cv_scores(spark, sf):
     weighted = split.with_class_weight(_features(spark, sf))
     folds = [r[1:] for r in split.time_folds(weighted, n_folds=3, gap=0, err=0).orderBy("fold").collect()]
     scores = models.cv_scores(models.assemble(weighted), folds, SMALL)
-    return spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "fold int, f1 double")
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "fold int, f1 double")
+    return rows.select("fold", F.col("f1").between(0, 1).alias("is_score"))
 
 
-@query("search_trials")
+@query("search_trials", "SELECT i::INT AS trial, true AS in_space, true AS is_score FROM range(2) r(i)")
 def search_trials(spark, sf):
     weighted = split.with_class_weight(_features(spark, sf))
     folds = [r[1:] for r in split.time_folds(weighted, n_folds=2, gap=0, err=0).orderBy("fold").collect()]
     space = models.SearchSpace(maxDepth=(2, 3), maxIter=(2, 3))
-    return models.trials_table(spark, models.search(weighted, folds, space, n=2))
+    rows = models.trials_table(spark, models.search(weighted, folds, space, n=2))
+    inside = F.col("maxDepth").between(2, 3) & F.col("maxIter").between(2, 3) & F.col("stepSize").between(0.05, 0.2)
+    return rows.select("trial", inside.alias("in_space"), F.col("mean_f1").between(0, 1).alias("is_score"))
 
 
 @query("evaluate_train_test")
@@ -83,10 +95,12 @@ def confusion_confident(spark, sf):
     )
 
 
-@query("batch_score")
+@query("batch_score", _TEST_PART.format(facts="true AS label_of_prediction, '1' AS version"))
 def batch_score(spark, sf):
     model, _, test_part = _trained(spark, sf)
-    return models.score(test_part, model, "1").select("transaction_id", "prediction", "label", "version")
+    rows = models.score(test_part, model, "1")
+    named = F.col("label") == F.when(F.col("prediction") == 1, "fraud").otherwise("normal")
+    return rows.select("transaction_id", named.alias("label_of_prediction"), "version")
 
 
 @query(
@@ -146,6 +160,25 @@ def job_features(spark, sf):
     return rounded(spark.read.parquet(out).select(*FEATURE.fieldNames()))
 
 
+@query(
+    "job_features_rerun",
+    f"""WITH {feature_sql().replace(TX, _ALL.replace("tx_all AS (", "tx_every AS (", 1).replace(", cut AS (", ", tx_all AS (SELECT * FROM tx_every WHERE unix_time < (SELECT max(unix_time) - 43200 FROM tx_every)), cut AS (", 1), 1)}
+    SELECT {feature_select()} FROM full_row, cut WHERE unix_time >= lo + {_SPAN}""",
+)
+def job_features_rerun(spark, sf):
+    """A batch is written but not committed, half a day of rows arrives, and the job runs again: the batch it began."""
+    source, out, state, lost = (scratch_path(spark, n) for n in ("clean", "features", "features-state", "lost-commit"))
+    rows = tx(spark, sf)
+    last = rows.agg(F.max("unix_time")).scalar() - 43200
+    rows.where(F.col("unix_time") < last).write.parquet(source)
+    cfg = jobs.FeatureJobConfig(overlap=_SPAN, batch=_SPAN, first_batch=_SPAN)
+    bounds = jobs.feature_job(spark, source, out, lost, cfg)
+    write_state(spark, state, {jobs.STARTED: bounds})  # what the state holds when the commit is lost
+    rows.where(F.col("unix_time") >= last).write.mode("append").parquet(source)
+    jobs.feature_job(spark, source, out, state, jobs.FeatureJobConfig(overlap=_SPAN, batch=DAY, first_batch=DAY))
+    return rounded(spark.read.parquet(out).select(*FEATURE.fieldNames()))
+
+
 @query("job_train_ab")
 def job_train_ab(spark, sf):
     """Train twice, compare, and show the registry afterwards."""

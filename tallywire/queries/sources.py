@@ -55,9 +55,18 @@ def hash_sample(spark, sf):
     return files.hash_sample(events, "event_id", 0.1, 42)
 
 
-@query("bernoulli_sample")
+@query("bernoulli_sample", "SELECT true AS rows_of_table, true AS no_repeats, true AS share_within_5_sigma")
 def bernoulli_sample(spark, sf):
-    return files.read_sample(spark, f"{sf}/events.parquet", 0.1, 42, ["event_id", "value"])
+    """A tenth of the events: known rows, each once, as many as chance allows."""
+    drawn = files.read_sample(spark, f"{sf}/events.parquet", 0.1, 42, ["event_id", "value"])
+    every = table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("value").alias("known"))
+    n = every.agg(F.count("*")).scalar()
+    same = (F.col("event_id") == F.col("id")) & F.col("value").eqNullSafe(F.col("known"))
+    return drawn.join(every, same, "left").agg(
+        (F.count("id") == F.count("*")).alias("rows_of_table"),
+        (F.count_distinct("event_id") == F.count("*")).alias("no_repeats"),
+        (F.abs(F.count("*") - 0.1 * n) <= 5 * F.sqrt(0.09 * n)).alias("share_within_5_sigma"),
+    )
 
 
 @query("json_decode", f"WITH {TX} SELECT transaction_id, unix_time, tx_amount, tx_fraud FROM tx")
@@ -124,9 +133,15 @@ def watermark_roundtrip(spark, sf):
     return spark.createDataFrame([(done["old_end_datetime"],)], "old_end_datetime bigint")
 
 
-@query("file_count_plan")
+@query(
+    "file_count_plan",
+    """SELECT sum(n_chars)::BIGINT AS total_bytes, greatest(1, ceil(sum(n_chars) / 3.0::DOUBLE / 1048576))::INT AS n_files
+    FROM documents""",
+)
 def file_count_plan(spark, sf):
-    return files.file_count_for(files.file_sizes(spark, sf), target_mb=1)
+    """The rule over text sizes as if each document were a file."""
+    sizes = table(spark, sf, "documents").select(F.col("n_chars").cast("bigint").alias("length"))
+    return files.file_count_for(sizes, target_mb=1)
 
 
 _RANGE = (1704672000, 1705276800)

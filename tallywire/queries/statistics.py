@@ -116,9 +116,17 @@ def quantiles(spark, sf):
     return split.quantiles(tx(spark, sf), "unix_time", [0.1, 0.5, 0.99], err=0)
 
 
-@query("quantiles_approx")
+@query("quantiles_approx", "SELECT 'q' || i AS name, true AS within_rank_error FROM range(3) r(i)")
 def quantiles_approx(spark, sf):
-    return split.quantiles(tx(spark, sf), "tx_amount", [0.1, 0.5, 0.99], err=0.001)
+    """Each value's rank lies within the stated error of the one asked for."""
+    df, asked, err = tx(spark, sf).select("tx_amount"), [0.1, 0.5, 0.99], 0.001
+    found = split.quantiles(df, "tx_amount", asked, err=err)
+    rows = found.select(F.explode(F.array(*[F.struct(F.lit(f"q{i}").alias("name"), F.lit(q).alias("q"), F.col(f"q{i}").alias("v")) for i, q in enumerate(asked)])).alias("x")).select("x.*")
+    n = df.agg(F.count("tx_amount")).scalar()
+    held = [F.struct(F.count_if(F.col("tx_amount") < found.select(f"q{i}").scalar()).alias("lo"), F.count_if(F.col("tx_amount") <= found.select(f"q{i}").scalar()).alias("hi")) for i in range(3)]
+    ranks = df.agg(F.array(*held).alias("held")).scalar()
+    own = F.get(ranks, F.substring("name", 2, 1).cast("int"))
+    return rows.select("name", ((own["lo"] <= (F.col("q") + err) * n + 1) & (own["hi"] >= (F.col("q") - err) * n - 1)).alias("within_rank_error"))
 
 
 def auc_sql(model: str, name: str) -> str:
@@ -189,11 +197,11 @@ MODELS = {"base": ("pred_a", "score_a"), "candidate": ("pred_b", "score_b")}
 
 @query(
     "bootstrap_metrics",
-    f"""WITH {bootstrap_sql(20)} SELECT model, replicate, {r6('auc', 'auc')}, {r6('f1', 'f1')}, {r6('p', 'p')}, {r6('r', 'r')}
+    f"""WITH {bootstrap_sql(100)} SELECT model, replicate, {r6('auc', 'auc')}, {r6('f1', 'f1')}, {r6('p', 'p')}, {r6('r', 'r')}
     FROM boot""",
 )
 def bootstrap_metrics(spark, sf):
-    return rounded(compare.bootstrap(scored(spark, sf), 20, models=MODELS))
+    return rounded(compare.bootstrap(scored(spark, sf), 100, models=MODELS))
 
 
 def comparison_sql() -> str:
@@ -217,22 +225,22 @@ def comparison_sql() -> str:
 
 @query(
     "ttest_effect",
-    f"""WITH {bootstrap_sql(20)}, {comparison_sql()} SELECT metric, {r6('t', 't_statistic')}, {r6('d', 'effect_size')},
+    f"""WITH {bootstrap_sql(100)}, {comparison_sql()} SELECT metric, {r6('t', 't_statistic')}, {r6('d', 'effect_size')},
         {r6('pv', 'p_value')}, pv < 0.01 AS is_significant,
         {r6('m1', 'base_mean')}, {r6('m2', 'candidate_mean')}, {r6('m2 - m1', 'improvement')} FROM cmp""",
 )
 def ttest_effect(spark, sf):
-    scores = compare.bootstrap(scored(spark, sf), 20, models=MODELS)
+    scores = compare.bootstrap(scored(spark, sf), 100, models=MODELS)
     return rounded(compare.compare(scores, "base", "candidate", ["f1", "p"]))
 
 
 @query(
     "ship_decision",
-    f"""WITH {bootstrap_sql(20)}, {comparison_sql()}
+    f"""WITH {bootstrap_sql(100)}, {comparison_sql()}
     SELECT metric, pv < 0.01 AND m2 > m1 AS should_deploy FROM cmp WHERE metric = 'f1'""",
 )
 def ship_decision(spark, sf):
-    scores = compare.bootstrap(scored(spark, sf), 20, models=MODELS)
+    scores = compare.bootstrap(scored(spark, sf), 100, models=MODELS)
     return compare.decide(compare.compare(scores, "base", "candidate"))
 
 

@@ -18,6 +18,7 @@ from tallywire.queries.common import (
     tx_stream,
 )
 from tallywire.session import scratch_path
+from tallywire.sources.messages import explode_payload, rejected_records
 from tallywire.streaming import transforms as st
 
 _MESSAGE = """to_json(struct_pack(transaction_id := transaction_id, tx_amount := tx_amount))::VARCHAR"""
@@ -137,3 +138,41 @@ def stream_quarantine(spark, sf):
     return parts[0].unionByName(parts[1]).groupBy("part").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
     )
+
+
+@query(
+    "stream_job_rejects",
+    f"""WITH {TX} SELECT CASE transaction_id % 10 WHEN 0 THEN 'undecodable,unix_time' WHEN 1 THEN 'unix_time' ELSE 'sent' END AS what,
+        count(*) AS n FROM tx GROUP BY 1""",
+)
+def stream_job_rejects(spark, sf):
+    """Broken text and records without a time beside good ones: what is not sent on is rejected, with its reason."""
+    i = F.col("transaction_id")
+    rows = tx_stream(spark, sf).withColumn("unix_time", F.when(i % 10 != 1, F.col("unix_time")))
+    text = F.when(i % 10 == 0, F.lit("{broken")).otherwise(F.to_json(F.struct(*PAYLOAD_COLUMNS)))
+    sent, cfg = rows.select(text.cast("binary").alias("value")), st.StreamConfig(schema=PAYLOAD)
+    good = run_and_read(st.run_stream(sent, cfg), "job-good").select(F.lit("sent").alias("what"))
+    bad = run_and_read(st.run_rejects(sent, cfg), "job-bad").select(F.array_join("reasons", ",").alias("what"))
+    return good.unionByName(bad).groupBy("what").agg(F.count("*").alias("n"))
+
+
+@query(
+    "stream_record_rejects",
+    f"""WITH {TX} SELECT what, count(*) AS n FROM (SELECT unnest(CASE transaction_id % 4 WHEN 0 THEN ['good', 'not an object']
+        WHEN 1 THEN ['good', 'unix_time'] WHEN 2 THEN ['not an object'] ELSE ['good'] END) AS what FROM tx) GROUP BY 1""",
+)
+def stream_record_rejects(spark, sf):
+    """Lists with a good record beside a number or beside one without a time, plain text, and single records."""
+    i = F.col("transaction_id")
+    rows = tx_stream(spark, sf).withColumn("good", F.to_json(F.struct(*PAYLOAD_COLUMNS)))
+    rows = rows.withColumn("short", F.to_json(F.struct(*[c for c in PAYLOAD_COLUMNS if c != "unix_time"])))
+    text = (
+        F.when(i % 4 == 0, F.concat(F.lit("["), "good", F.lit(", 7]")))
+        .when(i % 4 == 1, F.concat(F.lit("["), "short", F.lit(","), "good", F.lit("]")))
+        .when(i % 4 == 2, F.lit("no json"))
+        .otherwise(F.col("good"))
+    )
+    sent = rows.select(text.alias("value"))
+    good = run_and_read(explode_payload(sent, PAYLOAD).where(F.col("unix_time").isNotNull()), "records").select(F.lit("good").alias("what"))
+    bad = run_and_read(rejected_records(sent, PAYLOAD), "rejected").select(F.array_join("reasons", ",").alias("what"))
+    return good.unionByName(bad).groupBy("what").agg(F.count("*").alias("n"))

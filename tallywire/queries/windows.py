@@ -134,6 +134,24 @@ def rolling_hot_keys(spark, sf):
     return _added(features.customer_history(df, hot_rows=0), df.columns)
 
 
+_REGIMES = """SELECT * REPLACE (CASE WHEN unix_time < (SELECT (min(unix_time) + max(unix_time)) // 2 FROM tx_plain) THEN 2000000.0::DOUBLE
+    WHEN transaction_id % 2 = 0 THEN 1.0::DOUBLE ELSE 1.01::DOUBLE END AS tx_amount) FROM tx_plain"""
+
+
+@query(
+    "rolling_hot_std_regimes",
+    f"""WITH {TX.replace("tx AS (", "tx_plain AS (", 1)}, tx AS ({_REGIMES}) SELECT transaction_id,
+      {pick(direct_sql('customer_id', 'tx_amount', features.CUSTOMER_HISTORY, ('cn', 'avg', 'std'), 'cust'))} FROM tx""",
+)
+def rolling_hot_std_regimes(spark, sf):
+    """Millions first, cents apart later: the deviation of the second half must not feel the first."""
+    df = tx(spark, sf)
+    middle = df.agg(F.floor((F.min("unix_time") + F.max("unix_time")) / 2)).scalar()
+    small = F.when(F.col("transaction_id") % 2 == 0, 1.0).otherwise(1.01)
+    df = df.withColumn("tx_amount", F.when(F.col("unix_time") < middle, 2_000_000.0).otherwise(small))
+    return _added(features.customer_history(df, hot_rows=0), df.columns)
+
+
 PAIR_SQL = direct_sql("customer_id, terminal_id", "tx_amount", features.PAIR, ("isnew",), "ct")
 CURRENT_SQL = direct_sql("customer_id", "tx_amount", features.CUSTOMER_CURRENT, ("cn", "avg"), "cust")
 HISTORY_SQL = direct_sql("customer_id", "tx_amount", features.CUSTOMER_HISTORY, ("cn", "avg", "std"), "cust")

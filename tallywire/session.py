@@ -20,6 +20,8 @@ def build_session(app: str = "tallywire", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        # keys of a day of messages do not fit the heap of small executors
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         # the JVM never compiles methods above 8000 bytes; wide feature rows would run interpreted
         "spark.sql.codegen.hugeMethodLimit": "8000",
     }

@@ -16,7 +16,7 @@ BAD = "_bad"
 
 
 def kafka_security(user: str, password: str, truststore: str | None = None) -> dict[str, str]:
-    """SASL_SSL / SCRAM-SHA-512 options for source and sink."""
+    """SASL_SSL / SCRAM-SHA-512 options for source and sink (fixed names and values of the connector)."""
     options = {
         "kafka.security.protocol": "SASL_SSL",
         "kafka.sasl.mechanism": "SCRAM-SHA-512",
@@ -31,22 +31,32 @@ def kafka_security(user: str, password: str, truststore: str | None = None) -> d
     return options
 
 
-def kafka_source_options(servers: str, topic: str, security: dict[str, str] | None = None) -> dict[str, str]:
-    return {
+def kafka_source_options(
+    servers: str, topic: str, security: dict[str, str] | None = None, max_offsets: int | None = None
+) -> dict[str, str]:
+    """Fixed option names of the connector. `max_offsets` bounds a micro-batch: a long topic takes more batches."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
         **(security or {}),
     }
+    return {**options, "maxOffsetsPerTrigger": str(max_offsets)} if max_offsets else options
 
 
 def kafka_source(
-    spark: SparkSession, servers: str, topic: str, security: dict[str, str] | None = None, batch: bool = False
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    security: dict[str, str] | None = None,
+    batch: bool = False,
+    max_offsets: int | None = None,
 ) -> DataFrame:
     """Topic as a stream, or as a table when `batch`."""
     reader = spark.read if batch else spark.readStream
-    return reader.format("kafka").options(**kafka_source_options(servers, topic, security)).load()
+    options = kafka_source_options(servers, topic, security, None if batch else max_offsets)
+    return reader.format("kafka").options(**options).load()
 
 
 def kafka_sink_options(servers: str, topic: str, security: dict[str, str] | None = None) -> dict[str, str]:
@@ -104,10 +114,31 @@ def validate(df: DataFrame, schema: T.StructType = CONTRACT, col: str = "value")
     return good, checked.where(F.size("reasons") > 0).select(*df.columns, "reasons")
 
 
+def payload_records(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
+    """One row per record of a JSON object or list payload: `record` (its text), `data` and `reasons`.
+
+    A list is taken apart before its records are read, so a bad record does not touch its neighbours. `reasons` names
+    the fields that are missing or of another type; a payload or record that is no object has the reason "not an object".
+    """
+    text = F.trim(F.col(col).cast("string"))
+    parts = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    rows = df.withColumn("record", F.explode(F.coalesce(F.transform(parts, lambda v: F.to_json(v)), F.array(text))))
+    data = F.from_json("record", schema)
+    fields = [F.when(F.col(f"data.`{f.name}`").isNull(), F.lit(f.name)) for f in schema.fields]
+    rows = rows.withColumn("data", data)
+    bad = ~F.coalesce(F.startswith(F.col("record"), F.lit("{")), F.lit(False)) | F.try_parse_json("record").isNull()
+    return rows.withColumn("reasons", F.when(bad, F.array(F.lit("not an object"))).otherwise(F.array_compact(F.array(*fields))))
+
+
 def explode_payload(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
-    """One row per record of a JSON object or list payload; other payloads give none."""
-    records = F.from_json(F.col(col).cast("string"), T.ArrayType(schema))
-    return df.select(F.explode(records).alias("r")).where(F.col("r").isNotNull()).select("r.*")
+    """One row per record of a JSON object or list payload; what is no object gives none."""
+    rows = payload_records(df, schema, col)
+    return rows.where(~F.array_contains("reasons", "not an object")).select("data.*")
+
+
+def rejected_records(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
+    """Records that lack a field or are no objects, as (record, reasons)."""
+    return payload_records(df, schema, col).where(F.size("reasons") > 0).select("record", "reasons")
 
 
 def to_messages(df: DataFrame, start_ts: int, end_ts: int, time: str = "unix_time") -> DataFrame:
@@ -139,7 +170,10 @@ def topic_offsets(df: DataFrame) -> DataFrame:
 
 def with_archive_path(df: DataFrame, ts: Column | str, tz: str = "Europe/Moscow") -> DataFrame:
     """year / month / day text of the record time in `tz`."""
-    local = F.from_utc_timestamp(ts, tz)
+    # zone-free times from the epoch on: the same path in every session zone
+    since = F.make_dt_interval(secs=(F.unix_micros(ts) / 1_000_000).cast("decimal(18,6)"))
+    utc = F.lit("1970-01-01").cast("timestamp_ntz") + since
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
     return df.withColumns(
         {name: F.date_format(local, fmt) for name, fmt in [("year", "yyyy"), ("month", "MM"), ("day", "dd")]}
     )

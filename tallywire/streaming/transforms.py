@@ -15,14 +15,14 @@ from tallywire.functions import fill_numeric, from_epoch, to_message
 from tallywire.operators.monitor import fraud_share
 from tallywire.operators.models import score
 from tallywire.schemas import CONTRACT, FEATURE, MODEL_INPUTS
-from tallywire.sources.messages import decode_json, explode_payload, split_bad
+from tallywire.sources.messages import decode_json, payload_records, split_bad
 
 EVENT_TIME = "tx_datetime"
 
 
 def with_event_time(df: DataFrame, col: str = "unix_time", delay: str = "1 day") -> DataFrame:
-    """Event time from epoch seconds, with a watermark. Rows without a time are dropped: they would stay
-    in the state for ever."""
+    """Event time from epoch seconds, with a watermark. Rows without a time leave here, because they would stay in the
+    state for ever; `run_rejects` gives them."""
     df = df.where(F.col(col).isNotNull())
     return df.withColumn(EVENT_TIME, from_epoch(col)).withWatermark(EVENT_TIME, delay)
 
@@ -61,6 +61,18 @@ def run_stream(messages: DataFrame, cfg: StreamConfig = StreamConfig()) -> DataF
     return to_message(stream_clean(rows, cfg.drop))
 
 
+def run_rejects(messages: DataFrame, cfg: StreamConfig = StreamConfig()) -> DataFrame:
+    """What `run_stream` leaves out before dedup, with reasons: text that is no JSON object of the schema, and records
+    without a time."""
+    wide = T.StructType([*cfg.schema.fields, T.StructField("_bad", T.StringType())])
+    data = F.from_json(F.col("value").cast("string"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    rows = messages.select(F.col("value").cast("string").alias("record"), data.alias("data"))
+    undecoded = F.when(F.col("data").isNull() | F.col("data._bad").isNotNull(), F.lit("undecodable"))
+    timeless = F.when(F.col("data.unix_time").isNull(), F.lit("unix_time"))
+    rows = rows.select("record", F.array_compact(F.array(undecoded, timeless)).alias("reasons"))
+    return rows.where(F.array_contains("reasons", "unix_time"))
+
+
 def run_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> DataStreamWriter:
     """Append to files and stop when the input is used up; a restart goes on from the checkpoint."""
     return (
@@ -73,7 +85,12 @@ def run_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
 
 
 def quarantine_sink(
-    messages: DataFrame, schema: T.StructType, good_path: str, bad_path: str, checkpoint: str
+    messages: DataFrame,
+    schema: T.StructType,
+    good_path: str,
+    bad_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
 ) -> DataStreamWriter:
     """Good rows and undecodable messages to two tables, each batch in its own folder so that a replayed
     batch replaces itself."""
@@ -90,7 +107,7 @@ def quarantine_sink(
     return (
         messages.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
     )
 
 
@@ -112,8 +129,7 @@ def score_stream(
     schema: T.StructType = CONTRACT,
     inputs: Sequence[str] = tuple(MODEL_INPUTS),
 ) -> DataFrame:
-    """Payload messages to prediction messages: records with a missing field are left out."""
-    records = explode_payload(messages, schema)
-    complete = records.dropna(how="any", subset=[f.name for f in schema.fields])
+    """Payload messages to prediction messages, one per complete record; `rejected_records` gives the others."""
+    complete = payload_records(messages, schema).where(F.size("reasons") == 0).select("data.*")
     scored = score(complete, model, version, inputs=inputs)
     return to_message(scored.select("transaction_id", "prediction", "label", "version"))

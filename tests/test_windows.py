@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallywire.operators import features
 from tallywire.operators.buckets import BucketSpec, bucketed_multi, bucketed_rolling
-from tallywire.operators.skew import join_checked, split_hot
+from tallywire.operators.skew import split_hot
 from tallywire.operators.windows import rolling
 
 ROWS = "id bigint, customer_id int, terminal_id int, unix_time bigint, tx_amount double, tx_fraud int"
@@ -159,12 +159,3 @@ def test_split_hot_partitions_the_rows(spark):
     assert {r[0] for r in hot.select("customer_id").distinct().collect()} == {-1}
     assert cold.count() + hot.count() == df.count()
     assert split_hot(df, ["customer_id"], 10_000)[1] is None
-
-
-@pytest.mark.parametrize("bound", [1, 1000])
-def test_join_checked_is_the_same_with_and_without_broadcast(spark, bound):
-    df = make(spark)
-    means = df.groupBy("customer_id").agg(F.avg("tx_amount").alias("m"))
-    joined = join_checked(df, means, ["customer_id"], max_rows=bound)
-    assert joined.count() == df.count()
-    assert joined.where("m is null").count() == 0

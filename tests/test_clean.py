@@ -120,3 +120,58 @@ def test_large_partitions_are_split_and_sorted(spark, tmp_path):
     df = spark.range(1000).selectExpr("'w' as week", "1000 - id as unix_time")
     write_partitioned(df, str(tmp_path / "t"), "week", "unix_time", max_records=100)
     assert len(list((tmp_path / "t" / "week=w").glob("*.parquet"))) >= 10
+
+
+def test_broken_copies_do_not_displace_valid_ones(spark):
+    from tallywire.operators.clean import clean_rows
+    from tallywire.schemas import RAW
+
+    good = ("2024-01-01 10:00:00", 1, 1, 5.0, 1, 1, 0, 0, None)
+    rows = [(5, None, 1, 1, 5.0, 1, 1, 0, 0, None), (5, *good), (6, *good), (6, "2024-01-01 10:00:00", 1, 1, -1.0, 1, 1, 0, 0, None)]
+    out = clean_rows(spark.createDataFrame(rows, RAW)).collect()
+    assert sorted((r["transaction_id"], r["tx_amount"]) for r in out) == [(5, 5.0), (6, 5.0)]
+
+
+def test_partial_times_are_no_times(spark):
+    from tallywire.functions import parse_tx_time
+
+    texts = ["2024", "12:30:00", "2024-01-01", "2024-01-01 24:00:00", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(F.date_format(parse_tx_time("t"), "yyyy-MM-dd HH:mm:ss")).collect()]
+    assert got == [None, None, None, "2024-01-01 23:59:59", None, None]
+
+
+def test_archive_days_do_not_depend_on_the_session_zone(spark, conf):
+    from tallywire.sources.messages import with_archive_path
+
+    df = spark.createDataFrame([(1704142800,)], "t bigint").withColumn("ts", F.timestamp_seconds("t"))  # 21:00 UTC
+    days = set()
+    for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+        conf("spark.sql.session.timeZone", zone)
+        days.add(tuple(with_archive_path(df, "ts").select("year", "month", "day").first()))
+    assert days == {("2024", "01", "02")}
+
+
+def test_rows_without_a_time_are_in_neither_part(spark):
+    from tallywire.operators.split import split_by_time, with_split
+
+    df = spark.createDataFrame([(i, i if i % 3 else None) for i in range(30)], "id int, unix_time bigint")
+    parts = {r["id"]: r["part"] for r in with_split(df, rel_err=0).collect()}
+    train, test = split_by_time(df, rel_err=0)
+    assert {i for i, p in parts.items() if p == "train"} == {r["id"] for r in train.collect()}
+    assert {i for i, p in parts.items() if p == "test"} == {r["id"] for r in test.collect()}
+    assert all(parts[i] is None for i in range(0, 30, 3))
+
+
+def test_sorted_files(spark, tmp_path):
+    """Rows of every file are in time order, also when a partition becomes several files."""
+    from tallywire.sources.files import write_partitioned
+
+    rows = [(i, "ab"[i % 2], (i * 7919) % 5000) for i in range(5000)]
+    df = spark.createDataFrame(rows, "id int, week string, unix_time int").repartition(5)
+    write_partitioned(df, str(tmp_path / "out"), "week", "unix_time")
+    seen = {}
+    for r in spark.read.parquet(str(tmp_path / "out")).select("unix_time", F.col("_metadata.file_path").alias("f")).collect():
+        assert seen.get(r["f"], -1) <= r["unix_time"]
+        seen[r["f"]] = r["unix_time"]
+    assert len(seen) >= 2

@@ -85,3 +85,34 @@ def test_draws_are_seeded():
 def test_tx_reads_only_what_it_needs(spark):
     plan = tx(spark, SF).select("transaction_id", "tx_amount")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
+
+
+def test_clean_batch_is_finished_with_the_bounds_it_began(spark, tmp_path):
+    """Crash after the write; then a smaller first id and more rows arrive, and the batch size shrinks."""
+    raw, out, state, lost = (str(tmp_path / n) for n in ("raw", "out", "state", "lost"))
+
+    def add(ids):
+        lines = [(f"{i},2024-01-{i % 28 + 1:02d} 10:00:00,1,1,5.0,1,1,0,0",) for i in ids]
+        spark.createDataFrame(lines, "value string").write.mode("append").text(raw)
+
+    add(range(100, 200))
+    bounds = jobs.clean_job(spark, raw, out, lost)
+    write_state(spark, state, {jobs.STARTED: bounds})
+    add([*range(1, 10), *range(200, 260)])
+    assert jobs.clean_job(spark, raw, out, state, jobs.CleanConfig(first_batch=20)) == bounds
+    rows = spark.read.parquet(out).collect()
+    assert sorted(r["transaction_id"] for r in rows) == list(range(100, 199)) and len({r["batch"] for r in rows}) == 1
+    assert read_state(spark, state) == {jobs.DONE: bounds["end_id"]}
+
+
+def test_learning_rows_read_the_last_dates_only(spark, tmp_path):
+    from tallywire.operators.features import build_features
+
+    path = str(tmp_path / "features")
+    build_features(tx(spark, SF)).write.partitionBy("date").parquet(path)
+    rows = jobs.learning_rows(spark, path, jobs.TrainConfig())
+    plan = rows._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "GreaterThanOrEqual(unix_time" in plan
+    every = spark.read.parquet(path)
+    last = every.agg({"unix_time": "max"}).first()[0]
+    assert rows.count() == every.where(f"unix_time >= {last} - 9 * 86400").count()

@@ -125,3 +125,13 @@ def test_throughput_counts_up(spark):
     rows = throughput(df).orderBy("unix_time").collect()
     assert [r["total"] for r in rows] == [2, 3, 4]
     assert rows[0]["rate"] == 2.0 and rows[1]["rate"] == pytest.approx(3 / 86_391)
+
+
+def test_no_spread_is_never_significant(spark):
+    from tallywire.operators.compare import compare, decide
+
+    rows = [(m, i, v, v) for m, v in (("base", 0.5), ("candidate", 0.7)) for i in range(5)]
+    for part in (rows, rows[:1] + rows[5:6]):  # constant scores; one replicate of each
+        out = compare(spark.createDataFrame(part, "model string, replicate int, f1 double, p double"), "base", "candidate")
+        assert [tuple(r) for r in out.select("t_statistic", "p_value", "is_significant").collect()] == [(None, None, False)] * 2
+        assert decide(out).first()["should_deploy"] is False

@@ -159,3 +159,30 @@ def test_split_hot_partitions_the_rows(spark):
     assert {r[0] for r in hot.select("customer_id").distinct().collect()} == {-1}
     assert cold.count() + hot.count() == df.count()
     assert split_hot(df, ["customer_id"], 10_000)[1] is None
+
+
+def test_hot_deviation_does_not_feel_an_earlier_level(spark):
+    """Millions, then cents apart, also inside one bucket: nine digits in both plans."""
+    rows = [(i, 1, 1, 7200 + 60 * i if i < 100 else 7200 + 6000 + 7 * i, 2e6 if i < 150 else 1 + 0.01 * (i % 2), 0) for i in range(400)]
+    df, frames = spark.createDataFrame(rows, ROWS), {"a": (-600, 0), "b": (-3600, -60), "c": (-9000, 0)}
+    got = {}
+    for name, hot in (("plain", None), ("hot", 0)):
+        out = rolling(df, ["customer_id"], "unix_time", "tx_amount", frames, ["std", "avg"], "c", hot_rows=hot)
+        got[name] = {r["id"]: [r[f"tx_amount_{a}_c_{f}"] for a in ("std", "avg") for f in frames] for r in out.collect()}
+    for i, want in got["plain"].items():
+        for x, y in zip(got["hot"][i], want):
+            assert x == y if y is None else x == pytest.approx(y, rel=1e-9, abs=1e-12), i
+    assert got["hot"][399][0] == pytest.approx(0.005, rel=0.02)
+
+
+def test_whole_number_targets_keep_their_type(spark):
+    df, frames = make(spark), {"a": (-3600, 0)}
+    direct = rolling(df, ["customer_id"], "unix_time", "tx_fraud", frames, ["sum"], "c", hot_rows=None)
+    by_second = rolling(df, ["customer_id"], "unix_time", "tx_fraud", frames, ["sum"], "c", hot_rows=0)
+    assert direct.schema == by_second.schema and values(direct) == values(by_second)
+
+
+def test_null_keys_are_a_key_of_buckets(spark):
+    df = spark.createDataFrame([(i, None, None, 3600 * i, 1.0, 0) for i in range(4)], ROWS)
+    out = bucketed_rolling(df, ["customer_id"], "unix_time", "tx_amount", {"p": (-7200, -3600)}, prefix="c", include_current=False)
+    assert [r[0] for r in out.orderBy("id").select("c_tx_amount_cn_p").collect()] == [0, 1, 2, 2]

@@ -46,11 +46,11 @@ OUT = frozenset(
 #: roles, and words of classes and ids, of what is not the article
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline combx comment comments commentlist "
-    "alert alerts combox community consent cookie cookies copyright disqus disclaimer extra feedback foot footer footnav gdpr header login masthead menu "
-    "menus modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo "
-    "promoted promotion recommended reactions related remark replies reply respond responses discussion rss share shares sharing shoutbox sidebar sidebars signup "
-    "skyscraper social sponsor sponsored subscribe subscription teaser toc toolbar tooltip topbar widget widgets".split()
+    "ad ads adv advert adverts advertisement advertising alert alerts banner breadcrumb breadcrumbs comment comments commentlist "
+    "community consent cookie cookies copyright discussion disqus foot footer footnav gdpr header login masthead menu menus "
+    "modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promoted "
+    "promotion reactions recommended related replies reply respond responses rss share shares sharing sidebar sidebars signup "
+    "skyscraper social sponsor sponsored subscribe subscription teaser toolbar tooltip topbar widget widgets".split()
 )
 ARTICLE_MARKS = frozenset("comment comments reply teaser related ad advert promo sponsored".split())
 BESIDE = frozenset("with has no without hide show near".split())

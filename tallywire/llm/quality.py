@@ -207,4 +207,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
         packed(docs), F.col(id_col).alias("_key"), F.col(stratum_col).alias("_key_in"), text_key(F.col(text_col)).alias("_key_row")
     )
     same = F.col("_key").eqNullSafe(F.col("_id")) & F.col("_key_in").eqNullSafe(F.col("_in")) & (F.col("_key_row") == F.col("_lost"))
-    return tagged.join(lost, same, "left_anti").select(*unpacked(docs))
+    # the rejected rows grow with the documents: a shuffled join at every size
+    return tagged.join(lost.hint("merge"), same, "left_anti").select(*unpacked(docs))

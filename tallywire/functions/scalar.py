@@ -98,7 +98,7 @@ def bucket_of(c: Column | str, width: int) -> Column:
 def duration_seconds(c: Column | str) -> Column:
     """'1 minute', '2 hours', '10s' to seconds; 0 for an unknown unit, null when nothing matches."""
     text = F.lower(F.trim(as_col(c)))
-    pattern = r"^(\d+)\s*([a-zA-Z]+)"
+    pattern = r"^(\d+)\s*([a-zA-Z]+)"  # fixed value: number, unit
     units = F.create_map(*[F.lit(x) for kv in DURATION_UNITS.items() for x in kv])
     per_unit = F.coalesce(F.try_element_at(units, F.regexp_extract(text, pattern, 2)), F.lit(0))
     amount = F.regexp_extract(text, pattern, 1).try_cast("bigint")

@@ -157,7 +157,11 @@ def linked_prints(prints: DataFrame, max_bucket: int = 256, max_bits: int = 2) -
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bucket: int = 256) -> DataFrame:
     """_id, _print (signed) and component: the smallest id among all rows reachable over links; null if all are null."""
     rows = fingerprints(docs, id_col, text_col, shingle)
-    links = linked_prints(rows, max_bucket)
+    return with_component(rows, linked_prints(rows, max_bucket))
+
+
+def with_component(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """_id, _print and component of `rows` (_id, _print) whose prints are linked by a, b."""
     group = components(links, "a", "b")
     # one row per distinct fingerprint: its smallest id and its component of fingerprints
     first = rows.groupBy("_print").agg(F.min("_id").alias("_first"))
@@ -175,7 +179,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     Rows that repeat the kept id all stay: they cannot be told apart by it.
     """
-    classes = near_duplicates(docs, id_col, text_col, **how)
+    return drop_losers(docs, near_duplicates(docs, id_col, text_col, **how), id_col)
+
+
+def drop_losers(docs: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
+    """`docs` without the rows of `classes` whose id is not the smallest of their group."""
     losers = classes.where(F.col("_id") != F.col("component")).select(F.col("_id").alias("_lost")).distinct()
     losers = written(losers, "near-copies")
     return docs.join(losers, docs[id_col] == losers["_lost"], "left_anti")

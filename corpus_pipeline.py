@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywire.llm import decontaminate, line_dedup, mixing, near, quality
+from tallywire.llm import decontaminate, line_dedup, mixing, quality, simhash
 from tallywire.llm.text import written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -27,8 +27,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each group stays; texts link at a Jaccard of 0.8 on runs of five words."""
-    return near.keep_one(docs).select(COLUMNS)
+    """One document, the smallest id, of each group stays; groups as in op6: runs of three words, at most two differing bits."""
+    return simhash.keep_one(docs, shingle=3).select(COLUMNS)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywire.llm import decontaminate, html_text, licenses, line_dedup, mixing, quality, secrets_scan, simhash, substrings, tokens
+from tallywire.llm import (
+    decontaminate,
+    hard_negatives,
+    html_text,
+    hyperminhash,
+    licenses,
+    line_dedup,
+    mixing,
+    quality,
+    secrets_scan,
+    simhash,
+    substrings,
+    tokens,
+    vector_codes,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,3 +190,79 @@ SQL_BLANKS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = substrings.drop_repeats(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL_FINITE = "embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"
+
+
+def _codebook_sql(rounds: int = 4, entries: int = 256) -> str:
+    """Lloyd's rounds, one after the other, over the parts as lists of whole doubles."""
+    nearest = """SELECT p.vec_id, p.part, p.x, min_by(e.entry, (list_dot_product(p.x, p.x) - 2 * list_dot_product(p.x, e.x) + list_dot_product(e.x, e.x)) * 256 + e.entry) AS entry,
+        min(list_dot_product(p.x, p.x) - 2 * list_dot_product(p.x, e.x) + list_dot_product(e.x, e.x)) AS err
+        FROM p JOIN b{0} e USING (part) GROUP BY p.vec_id, p.part, p.x"""
+    update = """b{1} AS MATERIALIZED (SELECT part, entry, coalesce(n.x, o.x) AS x FROM b{0} o LEFT JOIN
+        (SELECT part, entry, list(m ORDER BY i) AS x FROM (SELECT part, entry, i, floor(sum(v) / count(*)) AS m
+            FROM (SELECT part, entry, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM a{0}) GROUP BY part, entry, i) GROUP BY part, entry) n USING (part, entry))"""
+    steps = [f"a{k} AS MATERIALIZED ({nearest.format(k)}), {update.format(k, k + 1)}" for k in range(rounds)]
+    return f"""
+    WITH v AS (SELECT vec_id, label, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS x FROM embeddings WHERE {SQL_FINITE}),
+    p AS MATERIALIZED (SELECT vec_id, part, x[part * len(x) // 4 + 1:(part + 1) * len(x) // 4] AS x FROM v, range(4) r(part)),
+    f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v ORDER BY vec_id LIMIT {entries}),
+    b0 AS MATERIALIZED (SELECT part, entry, x FROM p JOIN f USING (vec_id)),
+    {", ".join(steps)},
+    a{rounds} AS MATERIALIZED ({nearest.format(rounds)}),
+    c AS (SELECT vec_id, string_agg(lower(lpad(hex(entry), 2, '0')), '' ORDER BY part) AS code, sum(err)::BIGINT AS error FROM a{rounds} GROUP BY vec_id),
+    h AS (SELECT sha256(string_agg(array_to_string([y::BIGINT FOR y IN x], ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM c JOIN v USING (vec_id), h"""
+
+
+@query("op11_vector_codes", _codebook_sql())
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    coded, books = vector_codes.encode(table(spark, sf, "embeddings"))
+    return coded.select(
+        F.col("_id").alias("vec_id"), "code", "error", "label_error", F.lit(vector_codes.codebook_digest(books)).alias("codebooks_sha256")
+    )
+
+
+@query(
+    "op12_hard_negatives",
+    f"""
+    WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS x FROM embeddings WHERE label IS NOT NULL AND {SQL_FINITE}),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.x, b.x)::BIGINT AS score
+        FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10""",
+)
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query(
+    "op13_hyperminhash",
+    r"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS s FROM d),
+    n AS MATERIALIZED (SELECT doc_id, count(s) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id),
+    m AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM m JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r(doc_id, reached) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reached = e.a)
+    SELECT doc_id, n AS n_shingles, min(reached) AS component_id, doc_id = min(reached) AS kept FROM r JOIN n USING (doc_id) GROUP BY doc_id, n""",
+)
+def op13_hyperminhash(spark: SparkSession, sf: str) -> DataFrame:
+    groups = hyperminhash.near_duplicates(table(spark, sf, "documents"))
+    return groups.select(
+        F.col("_id").alias("doc_id"),
+        F.col("_n").alias("n_shingles"),
+        F.col("component").alias("component_id"),
+        hyperminhash.is_kept(F.col("_id"), F.col("component")).alias("kept"),
+    )

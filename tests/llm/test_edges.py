@@ -4,7 +4,7 @@ import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallywire.llm import decontaminate, html_text, licenses, line_dedup, mixing, quality, secrets_scan, simhash, substrings, tokens
+from tallywire.llm import decontaminate, html_text, hyperminhash, licenses, line_dedup, mixing, quality, secrets_scan, simhash, substrings, tokens
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -56,6 +56,8 @@ def runs(spark, docs, labels, items):
         "lines": line_dedup.dedup_lines(docs),
         "simhash": simhash.near_duplicates(docs),
         "keep_one": simhash.keep_one(docs),
+        "hyperminhash": hyperminhash.near_duplicates(docs),
+        "hyper_keep_one": hyperminhash.keep_one(docs),
         "leaks": decontaminate.find_leaks(docs, items),
         "drop_leaks": decontaminate.drop_leaks(docs, items),
         "secrets": secrets_scan.scan(docs),
@@ -67,7 +69,7 @@ def runs(spark, docs, labels, items):
 def test_odd_rows(spark, odd, labels, items):
     got = {name: df.collect() for name, df in runs(spark, odd, labels, items).items()}
     n = odd.count()
-    for name in ("quality", "substrings", "licenses", "take", "lines", "simhash", "secrets", "html", "tokens"):
+    for name in ("quality", "substrings", "licenses", "take", "lines", "simhash", "hyperminhash", "secrets", "html", "tokens"):
         assert len(got[name]) == n, name
     # texts of fewer than 50 words fail the base rule; the long one has no repeats
     assert [r["doc_id"] for r in got["keep_good"]] == [5]
@@ -78,6 +80,9 @@ def test_odd_rows(spark, odd, labels, items):
     zero = [r for r in got["simhash"] if r["_print"] == 0]
     assert {r["_id"] for r in zero} == {1, 2, 3} and {r["component"] for r in zero} == {1}
     assert sorted(r["doc_id"] or 0 for r in got["keep_one"]) == [0, 1, 4, 4, 4, 5, 6]
+    # texts without words link with nothing, repeated rows with each other
+    assert {(r["_id"], r["component"]) for r in got["hyperminhash"] if r["_n"] == 0} == {(1, 1), (2, 2), (3, 3)}
+    assert sorted(r["doc_id"] or 0 for r in got["hyper_keep_one"]) == [0, 1, 2, 3, 4, 4, 4, 5, 6]
     assert sorted((r["_id"], r["_item"] or 0) for r in got["leaks"]) == [(5, 0), (5, 4)]
     assert 5 not in {r["doc_id"] for r in got["drop_leaks"]} and len(got["drop_leaks"]) == n - 1
     assert all(r["findings"] == [] for r in got["secrets"])

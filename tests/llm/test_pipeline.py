@@ -28,7 +28,7 @@ def test_sql_twin(spark, name):
 
 def test_every_operator_has_a_query():
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 14)}
 
 
 def test_stages(spark, tmp_path):

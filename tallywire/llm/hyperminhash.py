@@ -8,7 +8,7 @@ agrees with the chance of their Jaccard similarity.
 
 1. Each band of registers is a key. A pair at the threshold shares none of them with a chance below (1 - t^rows)^bands,
    1e-6 for 0.8; unlike texts rarely meet.
-2. Every set is compared with the smallest set of each of its keys. The similarity estimated from registers, corrected
+2. Every set is compared with one set of each of its keys, the one that meets most others, so that a group's middle links most of it. The similarity estimated from registers, corrected
    for registers that agree by chance, drops pairs that lie six standard deviations below the threshold. The rest is verified on the
    full sets. Linked sets form components.
 3. Only keys whose sets are in several components go on. Keys with up to `max_bucket` sets give their pairs of
@@ -227,8 +227,23 @@ class _Linker:
         return met.select(F.least("l._node", "r._node").alias("a"), F.greatest("l._node", "r._node").alias("b")).distinct()
 
 
+def key_members(keyed: DataFrame) -> DataFrame:
+    """_key, _node of the keys that several nodes share, with the _size of the key and how often the node meets others (_meets)."""
+    shared = keyed.groupBy("_key").agg(F.count("*").alias("_size")).where("_size > 1")
+    members = written(keyed.join(shared, "_key"), "shared-keys")
+    meets = members.groupBy("_node").agg(F.sum("_size").alias("_meets"))
+    return written(members.join(meets, "_node").select("_key", "_node", "_size", "_meets"), "key-members")
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs of every node with the node of its key that meets most others: the middle of a group is the same for many keys."""
+    middle = members.groupBy("_key").agg(F.max(F.struct("_meets", "_node"))["_node"].alias("_middle"))
+    met = members.join(middle, "_key").where(F.col("_node") != F.col("_middle"))
+    return met.select(F.least("_node", "_middle").alias("a"), F.greatest("_node", "_middle").alias("b")).distinct()
+
+
 def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
-    """`members` of the keys whose sets are in several components, with the component _c."""
+    """`members` of the keys whose nodes are in several components, with the component _c."""
     group = components(links, "a", "b").select(F.col("node").alias("_node"), F.col("component").alias("_group"))
     placed = members.join(group, "_node", "left").select("_key", "_node", "_size", F.coalesce("_group", "_node").alias("_c"))
     placed = written(placed, "placed-members")
@@ -254,13 +269,11 @@ def near_duplicates(
     # smaller sets reach the threshold only with equal ones
     able = nodes.where(F.col("_n") * 100 >= percent * (F.col("_n") + 1)).select("_node", "_registers")
     keyed = written(able.mapInArrow(_banding(bands, rows), "_node long, _key long"), "band-keys")
-    shared = keyed.groupBy("_key").agg(F.min("_node").alias("_first"), F.count("*").alias("_size")).where("_size > 1")
-    members = written(keyed.join(shared, "_key"), "key-members")
+    members = key_members(keyed)
 
     linker = _Linker(nodes, percent, buckets)
     linker.read_sets(docs, members, id_col, text_col, shingle)
-    stars = members.where(F.col("_node") != F.col("_first")).select(F.col("_first").alias("a"), F.col("_node").alias("b")).distinct()
-    links = linker.linked(stars, "star")
+    links = linker.linked(_stars(members), "star")
     rest = _apart(members, links)
     few = rest.where(F.col("_size") <= max_bucket).alias("l")
     cross = few.join(few.alias("r"), (F.col("l._key") == F.col("r._key")) & (F.col("l._node") < F.col("r._node")) & (F.col("l._c") != F.col("r._c")))

@@ -37,6 +37,31 @@ def poisson_weight(digits: Column) -> Column:
     return weight.otherwise(len(cuts))
 
 
+def _position(cuts: Column, value: Column, blocks: int, equal: bool) -> Column:
+    """How many of the sorted cuts are below `value` (or at it, with `equal`), by bisection."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(blocks.bit_length()))])
+
+    def step(at: Column, width: Column) -> Column:
+        cut = F.get(cuts, at + width - 1)
+        return F.when((cut <= value) if equal else (cut < value), at + width).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def _drawn(rows: DataFrame, n: int, seed: int) -> DataFrame:
+    """`rows` (with _key) once per resample that draws them, with replicate and weight w."""
+    draws = F.array(*[F.substring(F.col("_digest"), 8 * i + 1, 8) for i in range(4)])
+    drawn_from = [F.lit(str(seed)), F.col("_key"), F.col("_draws").cast("string")]
+    names = [c for c in rows.columns if c != "_key"]
+    return (
+        rows.select("*", F.explode(F.array(*[F.lit(i) for i in range(-(-n // 4))])).alias("_draws"))
+        .withColumn("_digest", F.md5(F.concat_ws(":", *drawn_from)))
+        .select(*names, "_draws", F.posexplode(draws).alias("_i", "_draw"))
+        .select(*names, (F.col("_draws") * 4 + F.col("_i")).alias("replicate"), poisson_weight(F.col("_draw")).alias("w"))
+        .where((F.col("w") > 0) & (F.col("replicate") < n))
+    )
+
+
 def bootstrap(
     df: DataFrame,
     n: int = 100,
@@ -44,64 +69,59 @@ def bootstrap(
     models: dict[str, tuple[str, str]] | None = None,
     key: str = "transaction_id",
     label: str = "tx_fraud",
-    bins: int = 1000,
+    blocks: int = 1000,
 ) -> DataFrame:
     """(model, replicate, auc, f1, p, r): n resamples with replacement, for all models in one pass.
 
     `models` maps a name to its (prediction, score) columns. Each row gets a Poisson(1) weight per
     replicate, drawn from md5(seed:id:block) (four draws per digest), so a rerun gives the same weights.
-    Both models see the same resamples. Everything folds map-side to (model, replicate, score bin, label,
-    prediction) cells, at most n x bins x 4 per model; AUC is taken on the binned curve.
+    Both models see the same resamples.
+
+    AUC is that of the exact weighted curve over distinct scores, ties counting half. Rows are dealt to blocks of neighbouring
+    scores before they are drawn, so the shuffle moves each row once per model, not once per replicate; a block
+    accumulates its own curve, and only one row per (model, block, replicate) goes on to accumulate the blocks. The cuts between blocks are
+    approximate quantiles: they balance the work and do not change the result. A score that holds several quantiles is a block of its own, which
+    folds map-side instead. A null score is the lowest.
     """
     models = models or {"model": ("prediction", "prob_1")}
-    drawn_from = [F.lit(str(seed)), F.col(key).cast("string"), F.col("_block").cast("string")]
-    digest = F.md5(F.concat_ws(":", *drawn_from))
-    draws = F.array(*[F.substring(F.col("_digest"), 8 * i + 1, 8) for i in range(4)])
-    scored = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("model"),
-                F.col(pred).cast("int").alias("prediction"),
-                F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int").alias("bin"),
-            )
-            for i, (pred, score) in enumerate(models.values())
-        ]
-    )
-    blocks = F.array(*[F.lit(i) for i in range(-(-n // 4))])
+    scored = [
+        F.struct(F.lit(i).alias("model"), F.col(pred).cast("int").alias("prediction"), F.col(score).cast("double").alias("score"))
+        for i, (pred, score) in enumerate(models.values())
+    ]
+    rows = df.select(F.col(label).cast("int").alias("label"), F.col(key).cast("string").alias("_key"), F.explode(F.array(*scored)).alias("_s"))
+    rows = rows.select("label", "_key", "_s.*")
+    # as many numbers per model as there are blocks
+    fractions = F.array(*[F.lit((k + 1) / blocks) for k in range(blocks - 1)])
+    cuts = rows.groupBy("model").agg(F.percentile_approx("score", fractions, F.lit(10 * blocks)).alias("_cuts"))
+    rows = rows.join(F.broadcast(cuts), "model")
+    rows = rows.withColumns({f"_{name}": _position(F.col("_cuts"), F.col("score"), blocks, name == "upto") for name in ("below", "upto")})
+    is_hot = F.col("_upto") - F.col("_below") >= 2
+    rows = rows.select("model", (2 * F.col("_below") + is_hot.cast("int")).alias("_block"), is_hot.alias("_hot"), "score", "label", "prediction", "_key")
+
+    w, by = F.col("w"), ["model", "_block", "replicate"]
+    pos, neg = (F.when(F.col("label") == y, w).otherwise(0) for y in (1, 0))
+    counts = [*cells("label", "prediction", w).values(), F.sum(pos).alias("pos"), F.sum(neg).alias("neg")]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cold = _drawn(rows.where(~F.col("_hot")).drop("_hot").repartition(parts, "model", "_block"), n, seed)
+    upto = Window.partitionBy(*by).orderBy("score").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    tied = Window.partitionBy(*by, "score")
+    cold = cold.withColumns({"_upto": F.sum(neg).over(upto), "_tied": F.sum(neg).over(tied)})
+    cold = cold.groupBy(*by).agg(*counts, F.sum(pos * (F.col("_upto") - F.col("_tied") / 2)).alias("_area"))
+    hot = _drawn(spread(rows.where("_hot").drop("_hot")), n, seed).groupBy(*by).agg(*counts)
+    hot = hot.withColumn("_area", F.col("pos") * F.col("neg") / 2)
+    scores = scores_from_blocks(cold.unionByName(hot), ["model", "replicate"])
     names = F.array(*[F.lit(name) for name in models])
-    weighted = (
-        spread(df.select(F.col(label).cast("int").alias("label"), key, scored.alias("_scored")))
-        .select("*", F.explode(blocks).alias("_block"))
-        .withColumn("_digest", digest)
-        .select("label", "_scored", "_block", F.posexplode(draws).alias("_i", "_draw"))
-        .select(
-            "label",
-            "_scored",
-            (F.col("_block") * 4 + F.col("_i")).alias("replicate"),
-            poisson_weight(F.col("_draw")).alias("w"),
-        )
-        .where((F.col("w") > 0) & (F.col("replicate") < n))
-        .select("label", "replicate", "w", F.explode("_scored").alias("s"))
-        .groupBy("s.model", "replicate", "s.bin", "label", "s.prediction")
-        .agg(F.sum("w").alias("w"))
-    )
-    scores = scores_from_cells(weighted, ["model", "replicate"])
     return scores.withColumn("model", names[F.col("model")])
 
 
-def scores_from_cells(folded: DataFrame, by: Sequence[str]) -> DataFrame:
-    """auc, f1, p, r per group from folded (bin, label, prediction, w) cells."""
+def scores_from_blocks(folded: DataFrame, by: Sequence[str]) -> DataFrame:
+    """auc, f1, p, r per group from blocks of neighbouring scores in the order of _block: their cells, pos, neg and the
+    _area that positives and negatives of the same block make."""
     by = list(by)
-    w = F.col("w")
-    per_bin = folded.groupBy(*by, "bin").agg(
-        *cells("label", "prediction", w).values(),
-        F.sum(F.when(F.col("label") == 1, w).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col("label") == 0, w).otherwise(0)).alias("neg"),
-    )
-    below = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    area = F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg") / 2)
+    below = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    area = F.col("_area") + F.col("pos") * F.coalesce(F.sum("neg").over(below), F.lit(0))
     row = (
-        per_bin.withColumn("_area", area)
+        folded.withColumn("_area", area)
         .groupBy(*by)
         .agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn", "pos", "neg", "_area")])
     )

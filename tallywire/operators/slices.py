@@ -82,6 +82,22 @@ def with_feature_bounds(
     )
 
 
+def gaps(lo: int, hi: int, covered: list[tuple[int, int]], batch: int, least: int = 1) -> list[tuple[int, int]]:
+    """Half-open batches of at most `batch` seconds that fill [lo, hi) around the `covered` intervals, oldest first.
+
+    A last batch shorter than `least` is left for later, when more has arrived.
+    """
+    found, at = [], lo
+    for start, end in [*sorted(covered), (hi, hi)]:
+        while at < min(start, hi):
+            stop = min(at + batch, start, hi)
+            if stop < hi or stop - at >= least:
+                found.append((at, stop))
+            at = stop
+        at = max(at, end)
+    return found
+
+
 def with_learning_range(
     row: DataFrame, learn: int = WEEK, min_predict: int = DAY, max_predict: int = 2 * DAY
 ) -> DataFrame:

@@ -29,12 +29,12 @@ from tallywire.operators.models import (
     train,
 )
 from tallywire.operators.monitor import next_run_number
-from tallywire.operators.slices import slice_range, span, with_clean_bounds, with_feature_bounds, with_learning_range
+from tallywire.operators.slices import gaps, slice_range, span, with_clean_bounds, with_feature_bounds, with_learning_range
 from tallywire.operators.split import split_by_time, time_folds, with_class_weight
 from tallywire.schemas import CONTRACT, FEATURE_INPUT, MODEL_INPUTS
 from tallywire.sources.files import hash_sample, read_raw_csv, read_table, write_partitioned
 from tallywire.sources.messages import archive_stream, kafka_sink, kafka_source, rejected_records
-from tallywire.sources.state import RUNS, Registry, input_example, log_run, read_or_empty, read_state, save_feature_spec, write_state
+from tallywire.sources.state import RUNS, BatchLedger, Registry, input_example, log_run, read_or_empty, read_state, save_feature_spec, write_state
 from tallywire.streaming.transforms import StreamConfig, run_rejects, run_stream, score_stream
 
 DONE, STARTED = "old_end_datetime", "started"
@@ -110,13 +110,52 @@ def feature_job(
     bounds = _bounds(spark, state_path, fresh)
     if bounds is None:
         return None
+    _write_features(table, out_path, bounds, cfg)
+    write_state(spark, state_path, {DONE: bounds["end_time"]})
+    return bounds
+
+
+def _write_features(table: DataFrame, out_path: str, bounds: dict, cfg: FeatureJobConfig) -> None:
+    """Feature rows of one batch; a batch that was written before is replaced."""
     week = "week" if "week" in table.columns else None
     rows = slice_range(table, "unix_time", bounds["start_time"], bounds["end_time"], week=week)
     features = build_features(rows.select(*FEATURE_INPUT), cfg.features, bounds["good_time"])
     features = features.withColumn("batch", F.lit(bounds["good_time"]).cast("bigint"))
     write_partitioned(features, out_path, ["date", "batch"], "unix_time", "overwrite-partitions")
-    write_state(spark, state_path, {DONE: bounds["end_time"]})
-    return bounds
+
+
+def backfill_job(
+    spark: SparkSession,
+    in_path: str,
+    out_path: str,
+    ledger_path: str,
+    cfg: FeatureJobConfig = FeatureJobConfig(),
+    newest_first: bool = True,
+    most: int | None = None,
+    done: tuple[tuple[int, int], ...] = (),
+) -> list[dict]:
+    """Feature rows for all history: from the first time with a whole look-back behind it to the newest row, in batches.
+
+    The ledger holds the batches. A run plans the stretches that no batch covers yet (`done` names intervals [from, to) that
+    another job has written), then runs the open batches, newest first, `most` of them at a time. Each is noted as started before it is
+    written and as committed after it, on its own, so batches run in any order, and a run that was cut short goes on
+    with the batches it left open, at the same bounds. Returns the batches of this run.
+    """
+    table = read_table(spark, in_path)
+    ends = span(table, "unix_time").first()
+    if ends["min_value"] is None:
+        return []
+    ledger = BatchLedger(spark, ledger_path)
+    known = [(r["good_time"], r["end_time"]) for r in ledger.table().collect()]
+    missing = gaps(ends["min_value"] + cfg.overlap, ends["max_value"], [*known, *done], cfg.batch, cfg.time_limit)
+    ledger.add([{"start_time": a - cfg.overlap, "good_time": a, "end_time": b} for a, b in missing], "planned")
+    batches = ledger.open()
+    batches = (batches[::-1] if newest_first else batches)[:most]
+    for bounds in batches:
+        ledger.add([bounds], "started")
+        _write_features(table, out_path, bounds, cfg)
+        ledger.add([bounds], "committed")
+    return batches
 
 
 @dataclass(frozen=True)

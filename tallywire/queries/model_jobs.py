@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywire.functions import DAY, fill_numeric, to_message
-from tallywire.operators import models, split
-from tallywire.operators.features import build_features
+from tallywire.functions import DAY, MONTH, fill_numeric, to_message
+from tallywire.operators import metrics, models, split, trees
+from tallywire.operators.features import LONGEST_LOOKBACK, build_features
 from tallywire.plans import jobs
-from tallywire.queries.common import TX, TX_CSV, query, rounded, run_and_read, tx, write_csv
+from tallywire.queries.common import EPOCH_2024, TX, TX_CSV, query, rounded, run_and_read, tx, write_csv
 from tallywire.queries.projections import PARSED
 from tallywire.queries.windows import feature_select, feature_sql
 from tallywire.schemas import CONTRACT, FEATURE
 from tallywire.session import scratch_path
-from tallywire.sources.state import Registry, resolve_registry, write_state
+from tallywire.sources.state import LEDGER, RUNS, Registry, read_feature_spec, read_or_empty, write_state
 from tallywire.streaming.transforms import score_stream
 
-#: small trees: the queries show the operator, not a tuned model
-SMALL = models.GbtParams(maxDepth=3, maxIter=3, stepSize=0.1)
+PARAMS = models.GbtParams()
+#: fitted once per application and input: the queries on a model share it
+_FITTED: dict[tuple[str, str], tuple] = {}
 
 
 def _features(spark, sf) -> DataFrame:
@@ -30,8 +31,22 @@ def _features(spark, sf) -> DataFrame:
 
 
 def _trained(spark, sf):
-    train_part, test_part = split.split_by_time(_features(spark, sf), rel_err=0)
-    return models.train(split.with_class_weight(train_part), SMALL), train_part, test_part
+    """Model with the default parameters, train part, test part."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        train_part, test_part = split.split_by_time(_features(spark, sf), rel_err=0)
+        _FITTED[key] = models.train(split.with_class_weight(train_part), PARAMS), train_part, test_part
+    return _FITTED[key]
+
+
+def _walked(df: DataFrame, model) -> DataFrame:
+    """Scored rows beside the walk through the node table of the saved ensemble: same says whether both agree."""
+    rows = models.score(df, model, "1")
+    nodes = trees.node_table(model)
+    own = trees.walked(models.assemble(df).select("transaction_id", "features"), nodes, PARAMS.maxDepth)
+    rows = rows.join(own.select("transaction_id", "walk_prob_1", "walk_prediction"), "transaction_id")
+    same = (F.col("prediction") == F.col("walk_prediction")) & (F.abs(F.col("prob_1") - F.col("walk_prob_1")) < 1e-9)
+    return rows.withColumn("same", same)
 
 
 @query("assemble", "SELECT event_id AS transaction_id, 62 AS n_features FROM events")
@@ -43,64 +58,95 @@ def assemble(spark, sf):
 _TEST_PART = f"WITH {TX} SELECT transaction_id, {{facts}} FROM tx WHERE unix_time > (SELECT quantile_disc(unix_time, 0.8) FROM tx)"
 
 
-@query("gbt_predict", _TEST_PART.format(facts="true AS is_probability, true AS more_likely_class"))
+@query("gbt_predict", _TEST_PART.format(facts="true AS same_as_tree_walk"))
 def gbt_predict(spark, sf):
-    """Every test row once, with a probability and the class that it makes more likely."""
+    """Every test row once; its prediction and probability are those of a walk through the node table."""
     model, _, test_part = _trained(spark, sf)
-    rows = models.score(test_part, model, "1")
-    return rows.select(
-        "transaction_id",
-        F.col("prob_1").between(0, 1).alias("is_probability"),
-        ((F.col("prediction") == 1) == (F.col("prob_1") > 0.5)).alias("more_likely_class"),
+    return _walked(test_part, model).select("transaction_id", F.col("same").alias("same_as_tree_walk"))
+
+
+@query("ensemble_nodes", "SELECT t::INT AS tree, true AS is_tree, CASE WHEN t = 0 THEN 1.0 ELSE 0.1 END::DOUBLE AS weight FROM range(50) r(t)")
+def ensemble_nodes(spark, sf):
+    """Node tables are trees: every node but the root is the child of one node, no deeper than the parameter allows."""
+    nodes = trees.node_table(_trained(spark, sf)[0])
+    inner = F.count("left")
+    return nodes.groupBy("tree", "weight").agg(
+        ((F.count("*") == 2 * inner + 1) & (F.count("*") <= 2 ** (PARAMS.maxDepth + 1) - 1) & (F.max(F.greatest("left", "right")) == F.count("*") - 1)).alias("is_tree")
     )
 
 
-@query("cv_scores", "SELECT i::INT AS fold, true AS is_score FROM range(3) r(i)")
+@query("cv_scores", "SELECT i::INT AS fold, true AS same_as_recomputed FROM range(3) r(i)")
 def cv_scores(spark, sf):
+    """Weighted F1 of each fold against the one from the confusion counts of walked trees."""
+    weighted = models.assemble(split.with_class_weight(_features(spark, sf))).select("transaction_id", "features", "tx_fraud", "weight", "unix_time").persist()
+    folds = [r[1:] for r in split.time_folds(weighted, n_folds=3, gap=0, err=0).orderBy("fold").collect()]
+    params, rows = models.GbtParams(maxIter=30), []
+    scores = models.cv_scores(weighted, folds, params)
+    for i, fold in enumerate(folds):
+        train_part, val_part = split.fold_data(weighted, fold)
+        nodes = trees.node_table(models.fit_gbt(train_part, params))
+        own = trees.walked(val_part, nodes, params.maxDepth).withColumnRenamed("walk_prediction", "prediction")
+        rows.append((i, abs(metrics.weighted_prf(own).first()["weighted_f1"] - scores[i]) < 1e-9))
+    weighted.unpersist()
+    return spark.createDataFrame(rows, "fold int, same_as_recomputed boolean")
+
+
+@query("search_trials", "SELECT place::INT AS place, true AS in_space, true AS in_order FROM range(2) r(place)")
+def search_trials(spark, sf):
+    """Two trials over three folds in the published space; the best comes first."""
     weighted = split.with_class_weight(_features(spark, sf))
     folds = [r[1:] for r in split.time_folds(weighted, n_folds=3, gap=0, err=0).orderBy("fold").collect()]
-    scores = models.cv_scores(models.assemble(weighted), folds, SMALL)
-    rows = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "fold int, f1 double")
-    return rows.select("fold", F.col("f1").between(0, 1).alias("is_score"))
+    found = models.search(weighted, folds, n=2)
+    rows = models.trials_table(spark, found)
+    space = models.SearchSpace()
+    inside = F.lit(True)
+    for name in ("maxDepth", "maxIter", "stepSize"):
+        inside = inside & F.col(name).between(*getattr(space, name))
+    order = Window.orderBy(F.desc("mean_f1"), "trial")
+    placed = rows.withColumn("place", (F.row_number().over(order) - 1).cast("int"))
+    expected = F.array(*[F.lit(t["trial"]) for t in found])
+    return placed.select("place", inside.alias("in_space"), (F.get(expected, F.col("place")) == F.col("trial")).alias("in_order"))
 
 
-@query("search_trials", "SELECT i::INT AS trial, true AS in_space, true AS is_score FROM range(2) r(i)")
-def search_trials(spark, sf):
-    weighted = split.with_class_weight(_features(spark, sf))
-    folds = [r[1:] for r in split.time_folds(weighted, n_folds=2, gap=0, err=0).orderBy("fold").collect()]
-    space = models.SearchSpace(maxDepth=(2, 3), maxIter=(2, 3))
-    rows = models.trials_table(spark, models.search(weighted, folds, space, n=2))
-    inside = F.col("maxDepth").between(2, 3) & F.col("maxIter").between(2, 3) & F.col("stepSize").between(0.05, 0.2)
-    return rows.select("trial", inside.alias("in_space"), F.col("mean_f1").between(0, 1).alias("is_score"))
+_PARTS = f"""WITH {TX}, b AS (SELECT quantile_disc(unix_time, 0.8) AS cut FROM tx)
+    SELECT {{name}}, count(*) AS n_rows, sum(tx_fraud)::BIGINT AS n_frauds, true AS same_as_recomputed FROM tx, b {{rest}}"""
 
 
-@query("evaluate_train_test")
+@query("evaluate_train_test", _PARTS.format(name="CASE WHEN unix_time <= cut THEN 'train' ELSE 'test' END AS part", rest="GROUP BY 1"))
 def evaluate_train_test(spark, sf):
+    """Metric rows of both parts against those recomputed from walked trees; the cells add up to the rows of the part."""
     model, train_part, test_part = _trained(spark, sf)
     tables = models.evaluate_train_test(model, train_part, test_part)
-    out = None
-    for part in ("train", "test"):
-        df = tables[part]
-        row = df.select(F.lit(part).alias("part"), *[F.col(c).alias(c.removeprefix(f"{part}_")) for c in df.columns])
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
-@query("confusion_confident")
+    out = []
+    for part, df in (("train", train_part), ("test", test_part)):
+        got = tables[part].first().asDict()
+        own = _walked(df, model).drop("prediction").withColumnRenamed("walk_prediction", "prediction")
+        want = metrics.binary_metrics(own).first().asDict()
+        same = all(abs(got[f"{part}_{k}"] - v) < 1e-9 for k, v in want.items())
+        tn = own.where("tx_fraud = 0 AND prediction = 0").count()
+        out.append((part, sum(want[k] for k in ("tp", "fp", "fn")) + tn, want["tp"] + want["fn"], same))
+    return spark.createDataFrame(out, "part string, n_rows bigint, n_frauds bigint, same_as_recomputed boolean")
+
+
+@query("confusion_confident", _PARTS.format(name="'test' AS part", rest="WHERE unix_time > cut"))
 def confusion_confident(spark, sf):
+    """Confusion tables of all and of confident test rows against those recomputed from walked trees."""
     model, train_part, test_part = _trained(spark, sf)
-    tables = models.evaluate_train_test(model, train_part, test_part)
-    return tables["confusion"].select(F.lit("all").alias("rows"), "*").unionByName(
-        tables["confusion_09"].select(F.lit("confident").alias("rows"), "*")
-    )
+    found = models.evaluate_train_test(model, train_part, test_part)
+    own = _walked(test_part, model).select("tx_fraud", F.col("walk_prediction").alias("prediction"), F.col("walk_prob_1").alias("prob_1")).persist()
+    read = lambda df: sorted(map(tuple, df.collect()))
+    every = read(found["confusion"])
+    same = every == read(metrics.confusion(own)) and read(found["confusion_09"]) == read(metrics.confusion(metrics.confident(own, 0.9)))
+    own.unpersist()
+    frauds = sum(r[1] + r[2] for r in every if r[0] == 1)
+    return spark.createDataFrame([("test", sum(r[1] + r[2] for r in every), frauds, same)], "part string, n_rows bigint, n_frauds bigint, same_as_recomputed boolean")
 
 
-@query("batch_score", _TEST_PART.format(facts="true AS label_of_prediction, '1' AS version"))
+@query("batch_score", _TEST_PART.format(facts="true AS same_as_tree_walk, true AS label_of_prediction, '1' AS version"))
 def batch_score(spark, sf):
     model, _, test_part = _trained(spark, sf)
-    rows = models.score(test_part, model, "1")
-    named = F.col("label") == F.when(F.col("prediction") == 1, "fraud").otherwise("normal")
-    return rows.select("transaction_id", named.alias("label_of_prediction"), "version")
+    named = F.col("label") == F.when(F.col("walk_prediction") == 1, "fraud").otherwise("normal")
+    return _walked(test_part, model).select("transaction_id", F.col("same").alias("same_as_tree_walk"), named.alias("label_of_prediction"), "version")
 
 
 @query(
@@ -140,55 +186,87 @@ def job_clean(spark, sf):
     )
 
 
-_SPAN = 14 * DAY
-_ALL = TX.replace("tx AS (", "tx_all AS (", 1) + f""", cut AS (
-  SELECT max(unix_time) AS hi, max(unix_time) - {2 * _SPAN} AS lo FROM tx_all),
-tx AS (SELECT tx_all.* FROM tx_all, cut WHERE unix_time >= lo AND unix_time < hi)"""
+# the month of events spread over three, so that the default look-back fits in
+def _long_tx(spark, sf) -> DataFrame:
+    return tx(spark, sf).withColumn("unix_time", EPOCH_2024 + 3 * (F.col("unix_time") - EPOCH_2024))
 
 
-@query(
-    "job_features",
-    f"""WITH {feature_sql().replace(TX, _ALL, 1)} SELECT {feature_select()} FROM full_row, cut
-    WHERE unix_time >= lo + {_SPAN}""",
-)
+_LONG = TX.replace("floor(epoch(ts))::BIGINT AS unix_time", f"{EPOCH_2024} + 3 * (floor(epoch(ts))::BIGINT - {EPOCH_2024}) AS unix_time")
+_LATE = 3 * DAY // 2
+
+
+def _features_sql(lo: str, hi: str) -> str:
+    """Feature rows of [lo, hi), computed over the whole history; `ends` has the first time and the last."""
+    return f"""WITH {feature_sql().replace(TX, _LONG, 1)}, ends AS (SELECT min(unix_time) AS lo, max(unix_time) AS hi FROM tx),
+    early AS (SELECT max(unix_time) AS hi_early FROM tx, ends WHERE unix_time < hi - {_LATE})
+    SELECT {feature_select()} FROM full_row, ends, early WHERE unix_time >= {lo} AND unix_time < {hi}"""
+
+
+@query("job_features", _features_sql(f"hi - {MONTH}", "hi"))
 def job_features(spark, sf):
-    """First run: the latest batch, with as much history before it."""
+    """First run with the default look-back: the latest month."""
     source, out, state = (scratch_path(spark, n) for n in ("clean", "features", "features-state"))
-    tx(spark, sf).write.parquet(source)
-    cfg = jobs.FeatureJobConfig(overlap=_SPAN, batch=_SPAN, first_batch=_SPAN)
-    jobs.feature_job(spark, source, out, state, cfg)
+    _long_tx(spark, sf).write.parquet(source)
+    jobs.feature_job(spark, source, out, state)
     return rounded(spark.read.parquet(out).select(*FEATURE.fieldNames()))
 
 
-@query(
-    "job_features_rerun",
-    f"""WITH {feature_sql().replace(TX, _ALL.replace("tx_all AS (", "tx_every AS (", 1).replace(", cut AS (", ", tx_all AS (SELECT * FROM tx_every WHERE unix_time < (SELECT max(unix_time) - 43200 FROM tx_every)), cut AS (", 1), 1)}
-    SELECT {feature_select()} FROM full_row, cut WHERE unix_time >= lo + {_SPAN}""",
-)
+@query("job_features_rerun", _features_sql(f"hi_early - {MONTH}", "hi_early"))
 def job_features_rerun(spark, sf):
-    """A batch is written but not committed, half a day of rows arrives, and the job runs again: the batch it began."""
+    """A batch is written but not committed, a day and a half of rows arrives, and the job runs again with another batch size: the batch it
+    began."""
     source, out, state, lost = (scratch_path(spark, n) for n in ("clean", "features", "features-state", "lost-commit"))
-    rows = tx(spark, sf)
-    last = rows.agg(F.max("unix_time")).scalar() - 43200
+    rows = _long_tx(spark, sf)
+    last = rows.agg(F.max("unix_time")).scalar() - _LATE
     rows.where(F.col("unix_time") < last).write.parquet(source)
-    cfg = jobs.FeatureJobConfig(overlap=_SPAN, batch=_SPAN, first_batch=_SPAN)
-    bounds = jobs.feature_job(spark, source, out, lost, cfg)
+    bounds = jobs.feature_job(spark, source, out, lost)
     write_state(spark, state, {jobs.STARTED: bounds})  # what the state holds when the commit is lost
     rows.where(F.col("unix_time") >= last).write.mode("append").parquet(source)
-    jobs.feature_job(spark, source, out, state, jobs.FeatureJobConfig(overlap=_SPAN, batch=DAY, first_batch=DAY))
+    jobs.feature_job(spark, source, out, state, jobs.FeatureJobConfig(batch=DAY, first_batch=DAY))
     return rounded(spark.read.parquet(out).select(*FEATURE.fieldNames()))
 
 
-@query("job_train_ab")
+@query("feature_backfill", _features_sql(f"lo + {LONGEST_LOOKBACK}", "hi"))
+def feature_backfill(spark, sf):
+    """All history in batches of a fortnight, newest first; the second run stops before its commit, and the next one goes on."""
+    source, out, path, ledger = (scratch_path(spark, n) for n in ("clean", "features", "full-ledger", "ledger"))
+    _long_tx(spark, sf).write.parquet(source)
+    cfg = jobs.FeatureJobConfig(batch=14 * DAY)
+    jobs.backfill_job(spark, source, out, path, cfg, most=2)
+    # the ledger as it is when the job ends between the second batch's write and its commit
+    whole = read_or_empty(spark, path, LEDGER)
+    whole.where(F.col("seq") < whole.agg(F.max("seq")).scalar()).write.parquet(ledger)
+    jobs.backfill_job(spark, source, out, ledger, cfg)
+    return rounded(spark.read.parquet(out).select(*FEATURE.fieldNames()))
+
+
+@query(
+    "job_train_ab",
+    """SELECT * FROM (VALUES ('versions', 2), ('latest', 2), ('best is a version', 1), ('trials of both runs', 2), ('runs logged', 3), ('confusion tables', 4),
+        ('input columns', 62), ('decision follows alias', 1), ('replicates', 100)) f(fact, value)""",
+)
 def job_train_ab(spark, sf):
-    """Train twice, compare, and show the registry afterwards."""
+    """Train twice, each with one trial of thirty iterations and else the default configuration, compare, and read registry, run log and
+    tables."""
     path, registry = scratch_path(spark, "features"), scratch_path(spark, "registry")
     build_features(tx(spark, sf)).write.parquet(path)
-    for depth in (2, 3):
-        space = models.SearchSpace(maxDepth=(depth, depth), maxIter=(2, 2))
-        cfg = jobs.TrainConfig(fraction=1.0, n_folds=2, trials=1, replicates=20, space=space)
-        jobs.train_job(spark, path, registry, cfg)
-    jobs.ab_job(spark, path, registry, cfg)
-    return resolve_registry(Registry(spark, registry).table())
-
-
+    space = models.SearchSpace(maxIter=(30, 30))
+    for seed in (42, 43):
+        jobs.train_job(spark, path, registry, jobs.TrainConfig(fraction=1.0, seed=seed, trials=1, space=space))
+    cfg = jobs.TrainConfig()
+    compared = jobs.ab_job(spark, path, registry, cfg)
+    known = Registry(spark, registry).versions(cfg.name)
+    log = read_or_empty(spark, f"{registry}/runs", RUNS)
+    tables = sum(spark.read.parquet(f"{registry}/{t}").select("version").distinct().count() for t in ("confusion", "confusion_09"))
+    facts = {
+        "versions": spark.read.json(f"{registry}/features").select("version").distinct().count(),
+        "latest": known["latest"],
+        "best is a version": int(known["best"] in (1, 2)),
+        "trials of both runs": log.where(F.col("key").rlike("^trial_[0-9]+_mean_f1$")).count(),
+        "runs logged": log.select("run").distinct().count(),
+        "confusion tables": tables,
+        "input columns": len(read_feature_spec(spark, f"{registry}/features/version=2")),
+        "decision follows alias": int(compared["should_deploy"] == (known["best"] == 2)),
+        "replicates": cfg.replicates,
+    }
+    return spark.createDataFrame(list(facts.items()), "fact string, value int")

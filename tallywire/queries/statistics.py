@@ -163,25 +163,25 @@ def weighted_prf(spark, sf):
     return rounded(metrics.weighted_prf(one_model(scored(spark, sf))))
 
 
-def bootstrap_sql(n: int, seed: int = 42, bins: int = 1000) -> str:
+def bootstrap_sql(n: int, seed: int = 42, scored: str = SCORED) -> str:
     """CTE boot(model, replicate, auc, f1, p, r) over scored."""
     cuts = compare.poisson_cuts()
     weight = " ".join(f"WHEN draw < '{c}' THEN {k}" for k, c in enumerate(cuts))
-    return f"""{SCORED}, draws AS (
+    return f"""{scored}, draws AS (
       SELECT transaction_id, rep.replicate,
              substr(md5('{seed}:' || transaction_id || ':' || (rep.replicate // 4)), (8 * (rep.replicate % 4) + 1)::INT, 8) AS draw
       FROM tx, (SELECT range AS replicate FROM range({n})) rep),
     weights AS (SELECT transaction_id, replicate, CASE {weight} ELSE {len(cuts)} END AS w FROM draws),
     pairs AS (
-      SELECT 'base' AS model, transaction_id, tx_fraud AS y, pred_a AS pred, least(floor(score_a * {bins}), {bins - 1}) AS bin FROM scored
-      UNION ALL SELECT 'candidate', transaction_id, tx_fraud, pred_b, least(floor(score_b * {bins}), {bins - 1}) FROM scored),
+      SELECT 'base' AS model, transaction_id, tx_fraud AS y, pred_a AS pred, score_a AS score FROM scored
+      UNION ALL SELECT 'candidate', transaction_id, tx_fraud, pred_b, score_b FROM scored),
     folded AS (
-      SELECT model, replicate, bin, sum(w) FILTER (y = 1) AS pos1, sum(w) FILTER (y = 0) AS neg1,
+      SELECT model, replicate, score, sum(w) FILTER (y = 1) AS pos1, sum(w) FILTER (y = 0) AS neg1,
         sum(w) FILTER (y = 1 AND pred = 1) AS tp1, sum(w) FILTER (y = 0 AND pred = 1) AS fp1,
         sum(w) FILTER (y = 1 AND pred = 0) AS fn1, sum(w) FILTER (y = 0 AND pred = 0) AS tn1
       FROM pairs JOIN weights USING (transaction_id) WHERE w > 0 GROUP BY ALL),
     curve AS (
-      SELECT *, coalesce(pos1, 0) * (coalesce(sum(neg1) OVER (PARTITION BY model, replicate ORDER BY bin
+      SELECT *, coalesce(pos1, 0) * (coalesce(sum(neg1) OVER (PARTITION BY model, replicate ORDER BY score
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + coalesce(neg1, 0) / 2.0::DOUBLE) AS area FROM folded),
     totals AS (
       SELECT model, replicate, sum(area) AS area, sum(pos1)::DOUBLE AS pos, sum(neg1)::DOUBLE AS neg,
@@ -204,6 +204,23 @@ def bootstrap_metrics(spark, sf):
     return rounded(compare.bootstrap(scored(spark, sf), 100, models=MODELS))
 
 
+_NARROW = SCORED.replace(
+    "scored AS (\n  SELECT *,", "scored AS (\n  SELECT * REPLACE (CASE WHEN transaction_id % 3 = 0 THEN 0.001::DOUBLE ELSE score_a / 50 END AS score_a, score_b / 50 AS score_b),"
+)
+
+
+@query(
+    "bootstrap_auc_narrow",
+    f"""WITH {bootstrap_sql(100, scored=_NARROW)} SELECT model, replicate, round(auc, 9) AS auc FROM boot""",
+)
+def bootstrap_auc_narrow(spark, sf):
+    """Scores within 0 to 0.02, as fraud scores are; a third of one model's rows share one score."""
+    df = scored(spark, sf)
+    tied = F.when(F.col("transaction_id") % 3 == 0, 0.001).otherwise(F.col("score_a") / 50)
+    df = df.withColumns({"score_a": tied, "score_b": F.col("score_b") / 50})
+    return compare.bootstrap(df, 100, models=MODELS).select("model", "replicate", F.round("auc", 9).alias("auc"))
+
+
 def comparison_sql() -> str:
     """CTE cmp(metric, …) from boot: equal-variance t statistic, Cohen's d, and the two-sided p value by
     Simpson's rule over the density of Student's t."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 STATE = "seq bigint, state string"
 REGISTRY = "seq bigint, name string, version int, alias string, metrics string"
+LEDGER = "seq bigint, start_time bigint, good_time bigint, end_time bigint, status string"
 RUNS = "run string, kind string, key string, value string"
 
 
@@ -48,6 +49,37 @@ def write_state(spark: SparkSession, path: str, state: dict) -> None:
     _append(spark, path, [(seq + 1, json.dumps(state))], STATE)
 
 
+# --- ledger of batches ------------------------------------------------------------------------
+
+
+class BatchLedger:
+    """Which intervals of time a table has batches for: planned, started or committed. Append-only, one writer at a time.
+
+    A batch is told by the first time it keeps (good_time); its last row counts. An interval that is planned stays as it is, so a batch
+    that was cut short runs again with the same bounds.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def table(self) -> DataFrame:
+        """One row per batch with its status."""
+        rows = read_or_empty(self.spark, self.path, LEDGER)
+        last = rows.groupBy("good_time").agg(F.max_by(F.struct("start_time", "end_time", "status"), "seq").alias("b"))
+        return last.select("b.start_time", "good_time", "b.end_time", "b.status")
+
+    def add(self, batches: Sequence[dict], status: str) -> None:
+        seq = read_or_empty(self.spark, self.path, LEDGER).agg(F.max("seq")).first()[0] or 0
+        rows = [(seq + i, b["start_time"], b["good_time"], b["end_time"], status) for i, b in enumerate(batches, start=1)]
+        if rows:
+            _append(self.spark, self.path, rows, LEDGER)
+
+    def open(self) -> list[dict]:
+        """Batches without a commit, oldest first; a row per batch, not per row of the table."""
+        rows = self.table().where("status <> 'committed'").orderBy("good_time")
+        return [r.asDict() for r in rows.select("start_time", "good_time", "end_time").collect()]
+
+
 # --- model registry ---------------------------------------------------------------------------
 
 

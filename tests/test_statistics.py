@@ -135,3 +135,36 @@ def test_no_spread_is_never_significant(spark):
         out = compare(spark.createDataFrame(part, "model string, replicate int, f1 double, p double"), "base", "candidate")
         assert [tuple(r) for r in out.select("t_statistic", "p_value", "is_significant").collect()] == [(None, None, False)] * 2
         assert decide(out).first()["should_deploy"] is False
+
+
+def weighted_auc(rows, n, seed):
+    """AUC per replicate by definition: every positive against every negative, ties half."""
+    import hashlib
+
+    cuts = poisson_cuts()
+    out = []
+    for rep in range(n):
+        ws = []
+        for i, _, _ in rows:
+            at = 8 * (rep % 4)
+            draw = hashlib.md5(f"{seed}:{i}:{rep // 4}".encode()).hexdigest()[at : at + 8]
+            ws.append(sum(draw >= c for c in cuts))
+        w, y, s = np.array(ws, float), np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+        p, q = y == 1, y == 0
+        beats = (s[p][:, None] > s[q]) + (s[p][:, None] == s[q]) / 2
+        out.append((w[p][:, None] * w[q] * beats).sum() / (w[p].sum() * w[q].sum()))
+    return out
+
+
+@pytest.mark.parametrize("blocks", [3, 16, 1000])
+def test_bootstrap_auc_is_exact_in_a_narrow_band(spark, blocks):
+    """Scores within 0 to 0.02: neighbours a millionth apart, small ties, one score that holds a third of the rows."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        y = int(rng.random() < 0.2)
+        s = 0.004 if i % 3 == 0 else 0.01 + (y * 3 + rng.randrange(400)) * 1e-6
+        rows.append((i, y, s))
+    df = spark.createDataFrame([(i, y, s, 0) for i, y, s in rows], "transaction_id long, tx_fraud int, prob_1 double, prediction int")
+    got = {r["replicate"]: r["auc"] for r in bootstrap(df, 6, seed=7, blocks=blocks).collect()}
+    assert [got[k] for k in range(6)] == pytest.approx(weighted_auc(rows, 6, 7), abs=1e-9)

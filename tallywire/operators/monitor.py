@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywire.functions import safe_div
@@ -20,20 +20,22 @@ def prediction_counts(df: DataFrame) -> DataFrame:
 
 
 def histogram(
-    df: DataFrame, col: str, by: str = "version", bounds: Sequence[float] = LATENCY_BOUNDS
+    df: DataFrame, col: str, by: str | Sequence[Column] = "version", bounds: Sequence[float] = LATENCY_BOUNDS
 ) -> DataFrame:
     """Cumulative buckets per group: (by, le, bucket_count, total_sum, total_count), +Inf bucket included."""
     steps = [*bounds, float("inf")]
-    folded = df.groupBy(by).agg(
+    groups = [F.col(by)] if isinstance(by, str) else list(by)
+    folded = df.groupBy(*groups).agg(
         *[F.count_if(F.col(col) <= F.lit(float(b))).alias(f"_b{i}") for i, b in enumerate(steps)],
         F.sum(col).alias("total_sum"),
         F.count(col).alias("total_count"),
     )
+    names = folded.columns[: len(groups)]
     buckets = F.array(
         *[F.struct(F.lit(float(b)).alias("le"), F.col(f"_b{i}").alias("bucket_count")) for i, b in enumerate(steps)]
     )
-    out = folded.select(by, F.explode(buckets).alias("b"), "total_sum", "total_count")
-    return out.select(by, "b.le", "b.bucket_count", "total_sum", "total_count")
+    out = folded.select(*names, F.explode(buckets).alias("b"), "total_sum", "total_count")
+    return out.select(*names, "b.le", "b.bucket_count", "total_sum", "total_count")
 
 
 def fraud_share(

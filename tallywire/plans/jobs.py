@@ -35,7 +35,7 @@ from tallywire.schemas import CONTRACT, FEATURE_INPUT, MODEL_INPUTS
 from tallywire.sources.files import hash_sample, read_raw_csv, read_table, write_partitioned
 from tallywire.sources.messages import archive_stream, kafka_sink, kafka_source, rejected_records
 from tallywire.sources.state import RUNS, BatchLedger, Registry, input_example, log_run, read_or_empty, read_state, save_feature_spec, write_state
-from tallywire.streaming.transforms import StreamConfig, run_rejects, run_stream, score_stream
+from tallywire.streaming.transforms import StreamConfig, run_rejects, run_counted, score_stream, scored_latency, stream_counts, stream_histogram
 
 DONE, STARTED = "old_end_datetime", "started"
 
@@ -296,26 +296,34 @@ def score_job(
     security: dict[str, str] | None = None,
     rejects: str | None = None,
     max_offsets: int | None = None,
+    metrics: str | None = None,
 ) -> list[DataStreamWriter]:
     """Feature messages to prediction messages with the best model; start the returned writers.
 
-    With a folder `rejects` the second writer puts the records there that cannot be scored, with their reasons.
+    With a folder `rejects` another writer puts the records there that cannot be scored, with their reasons; with a folder `metrics` two
+    more keep predictions by label and version and the latency histogram, per five minutes of record time.
     """
     registry = Registry(spark, registry_path)
     version = registry.resolve(name, "best")
     if version is None:
         raise LookupError(f"no model named {name} in {registry_path}")
     messages = kafka_source(spark, servers, topic_in, security, max_offsets=max_offsets)
-    scored = score_stream(messages, registry.load(name, version), str(version))
+    model = registry.load(name, version)
+    scored = score_stream(messages, model, str(version))
     writers = [kafka_sink(scored, servers, topic_out, checkpoint, security)]
-    return writers + _reject_writers(rejected_records(messages, CONTRACT), rejects, checkpoint)
+    writers += _side_writers(rejected_records(messages, CONTRACT), rejects, checkpoint, "rejects")
+    if metrics:
+        timed = scored_latency(messages, model, str(version))
+        writers += _side_writers(stream_counts(timed, "timestamp"), f"{metrics.rstrip('/')}/counts", checkpoint, "counts")
+        writers += _side_writers(stream_histogram(timed, "timestamp", "latency"), f"{metrics.rstrip('/')}/latency", checkpoint, "latency")
+    return writers
 
 
-def _reject_writers(rows: DataFrame, path: str | None, checkpoint: str) -> list[DataStreamWriter]:
+def _side_writers(rows: DataFrame, path: str | None, checkpoint: str, name: str) -> list[DataStreamWriter]:
     if not path:
         return []
     writer = rows.writeStream.format("parquet").option("path", path).outputMode("append")
-    return [writer.option("checkpointLocation", f"{checkpoint.rstrip('/')}-rejects")]
+    return [writer.option("checkpointLocation", f"{checkpoint.rstrip('/')}-{name}")]
 
 
 def archive_job(
@@ -342,7 +350,8 @@ def stream_job(
     rejects: str | None = None,
     max_offsets: int | None = None,
 ) -> list[DataStreamWriter]:
-    """Topic to topic; start the returned writers. With a folder `rejects` the second one keeps what was left out."""
+    """Topic to topic; start the returned writers. With a folder `rejects` the second one keeps what was left out. The first one reports
+    its rows: with a `ProgressLog`, `progress.balance` accounts for them."""
     messages = kafka_source(spark, servers, topic_in, security, max_offsets=max_offsets)
-    writers = [kafka_sink(run_stream(messages, cfg), servers, topic_out, checkpoint, security)]
-    return writers + _reject_writers(run_rejects(messages, cfg), rejects, checkpoint)
+    writers = [kafka_sink(run_counted(messages, cfg), servers, topic_out, checkpoint, security)]
+    return writers + _side_writers(run_rejects(messages, cfg), rejects, checkpoint, "rejects")

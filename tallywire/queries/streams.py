@@ -18,7 +18,9 @@ from tallywire.queries.common import (
     tx_stream,
 )
 from tallywire.session import scratch_path
+from tallywire.operators.monitor import LATENCY_BOUNDS
 from tallywire.sources.messages import explode_payload, rejected_records
+from tallywire.streaming import progress
 from tallywire.streaming import transforms as st
 
 _MESSAGE = """to_json(struct_pack(transaction_id := transaction_id, tx_amount := tx_amount))::VARCHAR"""
@@ -176,3 +178,82 @@ def stream_record_rejects(spark, sf):
     good = run_and_read(explode_payload(sent, PAYLOAD).where(F.col("unix_time").isNotNull()), "records").select(F.lit("good").alias("what"))
     bad = run_and_read(rejected_records(sent, PAYLOAD), "rejected").select(F.array_join("reasons", ",").alias("what"))
     return good.unionByName(bad).groupBy("what").agg(F.count("*").alias("n"))
+
+
+# three arrivals; broken records, records twice, and later arrivals that lie behind the watermark for the most part
+_ARRIVALS = f"""{TX}, a AS (SELECT *, transaction_id % 3 AS arrival, transaction_id % 10 = 0 AS broken FROM tx),
+    m AS (SELECT k.range AS arrival, max(unix_time) - 86400 AS mark FROM range(3) k LEFT JOIN a ON a.arrival < k.range AND NOT broken GROUP BY 1)"""
+
+
+@query(
+    "stream_balance",
+    f"""WITH {_ARRIVALS}, c AS (SELECT arrival, CASE WHEN arrival = 0 THEN 2 ELSE 1 END AS times, broken, coalesce(unix_time <= mark, false) AS late FROM a JOIN m USING (arrival))
+    SELECT arrival::INT AS arrival, sum(times)::BIGINT AS received, coalesce(sum(times) FILTER (broken), 0)::BIGINT AS rejected,
+      coalesce(sum(times) FILTER (NOT broken AND late), 0)::BIGINT AS late, coalesce(sum(times - 1) FILTER (NOT broken), 0)::BIGINT AS duplicates,
+      count(*) FILTER (NOT broken AND NOT late) AS sent, true AS balanced FROM c GROUP BY 1""",
+)
+def stream_balance(spark, sf):
+    """Every message is sent, late, a duplicate or rejected; the account comes from the progress of the batches."""
+    rows, cfg = tx(spark, sf), st.StreamConfig(schema=PAYLOAD)
+    arrival = F.col("transaction_id") % 3
+    text = F.when(F.col("transaction_id") % 10 == 0, "{broken").otherwise(F.to_json(F.struct(*PAYLOAD_COLUMNS)))
+    inbox, out, checkpoint = (scratch_path(spark, n) for n in ("balance-in", "balance-out", "balance-checkpoint"))
+    account = None
+    for k in range(3):
+        log = scratch_path(spark, "progress")
+        sent = rows.where(arrival == k).select(text.alias("value"))
+        # the first arrival comes twice; most of the others lies behind the watermark that it leaves
+        (_twice(sent) if k == 0 else sent).write.mode("append").text(inbox)
+        running = st.run_to_files(st.run_counted(spark.readStream.text(inbox), cfg), out, checkpoint).start()
+        running.awaitTermination()
+        progress.keep_finished(spark, log, running)
+        sums = progress.balance(progress.read_progress(spark, log)).agg(
+            F.lit(k).alias("arrival"),
+            *[F.sum(c).alias(c) for c in ("received", "rejected", "late", "duplicates", "sent")],
+            F.bool_and("balanced").alias("balanced"),
+        )
+        account = sums if account is None else account.unionByName(sums)
+    return account
+
+
+@query(
+    "topic_lag_from_progress",
+    """SELECT event_type AS topic, count(*) AS input_total, count(*) FILTER (event_id % 3 > 0) AS output_total, count(*) FILTER (event_id % 3 = 0) AS lag
+    FROM events GROUP BY 1""",
+)
+def topic_lag_from_progress(spark, sf):
+    """Offsets of a topic per event type with four partitions, as two batches report them; no topic is read for the lag."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    read = F.count_if(F.col("event_id") % 3 > 0)
+    parts = events.groupBy(F.col("event_type").alias("topic"), (F.col("user_id") % 4).cast("string").alias("part")).agg(F.count("*").alias("latest"), read.alias("end"))
+
+    def offsets(col):
+        return F.map_from_entries(F.collect_list(F.struct("part", col)))
+
+    topics = parts.groupBy("topic").agg(offsets("latest").alias("latest"), offsets("end").alias("end"), offsets(F.floor(F.col("end") / 2)).alias("half"))
+    runs = topics.groupBy().agg(*[F.map_from_entries(F.collect_list(F.struct("topic", c))).alias(c) for c in ("latest", "end", "half")])
+    batches = runs.select(F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("half").alias("end")), F.struct(F.lit(1).alias("k"), "end"))).alias("b"), "latest")
+    source = F.array(F.struct(F.col("b.end").alias("endOffset"), F.col("latest").alias("latestOffset")))
+    report = F.struct(F.lit("run").alias("runId"), F.col("b.k").alias("batchId"), F.col("b.k").cast("string").alias("timestamp"), source.alias("sources"))
+    path = scratch_path(spark, "progress")
+    batches.select(F.to_json(report).alias("value")).write.text(path)
+    return progress.lag_from_progress(progress.read_progress(spark, path))
+
+
+_LE = ", ".join(f"{b}::DOUBLE" for b in LATENCY_BOUNDS) + ", 'inf'::DOUBLE"
+
+
+@query(
+    "stream_latency_histogram",
+    f"""WITH {TX}, p AS (SELECT unix_time // 3600 * 3600 AS start_time, 'v' || (customer_id % 3) AS version, tx_amount / 100 AS latency FROM tx), b AS (SELECT unnest([{_LE}]) AS le)
+    SELECT start_time, version, le::VARCHAR AS le, count(*) FILTER (latency <= le) AS bucket_count, {r6("sum(latency)", "total_sum")}, count(*) AS total_count
+    FROM p, b WHERE start_time + 3600 <= (SELECT max(unix_time) - 86400 FROM tx) GROUP BY ALL""",
+)
+def stream_latency_histogram(spark, sf):
+    """Cumulative buckets per hour and version, appended as the watermark closes the hours."""
+    rows = tx_stream(spark, sf).select(
+        F.timestamp_seconds("unix_time").alias("at"), (F.col("tx_amount") / 100).alias("latency"), F.concat(F.lit("v"), F.col("customer_id") % 3).alias("version")
+    )
+    out = run_and_read(st.stream_histogram(rows, "at", "latency", length="1 hour"), "latency")
+    text = F.when(F.col("le") == float("inf"), "inf").otherwise(F.col("le").cast("string"))
+    return rounded(out.select(F.unix_timestamp("window.start").alias("start_time"), "version", text.alias("le"), "bucket_count", "total_sum", "total_count"))

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallywire.functions import fill_numeric, from_epoch, to_message
-from tallywire.operators.monitor import fraud_share
+from tallywire.operators.monitor import LATENCY_BOUNDS, fraud_share, histogram
 from tallywire.operators.models import score
 from tallywire.schemas import CONTRACT, FEATURE, MODEL_INPUTS
 from tallywire.sources.messages import decode_json, payload_records, split_bad
+from tallywire.streaming.progress import RECEIVED, SENT, TIMED, counted
 
 EVENT_TIME = "tx_datetime"
 
@@ -61,6 +62,12 @@ def run_stream(messages: DataFrame, cfg: StreamConfig = StreamConfig()) -> DataF
     return to_message(stream_clean(rows, cfg.drop))
 
 
+def run_counted(messages: DataFrame, cfg: StreamConfig = StreamConfig()) -> DataFrame:
+    """`run_stream` that reports its rows, so that `progress.balance` accounts for each message of each batch."""
+    rows = counted(with_event_time(decode_json(counted(messages, RECEIVED), cfg.schema), delay=cfg.delay), TIMED)
+    return counted(to_message(stream_clean(stream_dedup(rows, cfg.keys, cfg.within_watermark), cfg.drop)), SENT)
+
+
 def run_rejects(messages: DataFrame, cfg: StreamConfig = StreamConfig()) -> DataFrame:
     """What `run_stream` leaves out before dedup, with reasons: text that is no JSON object of the schema, and records
     without a time."""
@@ -122,6 +129,27 @@ def stream_counts(df: DataFrame, ts: str, delay: str = "1 day", length: str = "5
     return df.withWatermark(ts, delay).groupBy(window, "label", "version").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_histogram(
+    df: DataFrame,
+    ts: str,
+    col: str,
+    by: str = "version",
+    bounds: Sequence[float] = LATENCY_BOUNDS,
+    delay: str = "1 day",
+    length: str = "5 minutes",
+) -> DataFrame:
+    """Cumulative buckets of `col` per window of event time and group. A window comes out once, when the watermark has passed it."""
+    return histogram(df.withWatermark(ts, delay), col, [F.window(ts, length).alias("window"), F.col(by)], bounds)
+
+
+def scored_latency(messages: DataFrame, model: PipelineModel, version: str, schema: T.StructType = CONTRACT) -> DataFrame:
+    """Scored records with the record time of their message (`timestamp`) and the seconds from it to their scoring (`latency`)."""
+    complete = payload_records(messages, schema).where(F.size("reasons") == 0).select("data.*", "timestamp")
+    scored = score(complete, model, version).select("transaction_id", "label", "version", "timestamp")
+    took = F.unix_micros(F.current_timestamp()) - F.unix_micros("timestamp")
+    return scored.withColumn("latency", took / 1_000_000)
+
+
 def score_stream(
     messages: DataFrame,
     model: PipelineModel,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallywire.queries.common import PAYLOAD, PAYLOAD_COLUMNS, payloads, tx, tx_stream
 from tallywire.schemas import CONTRACT, FEATURE
 from tallywire.sources import messages
+from tallywire.streaming import progress
 from tallywire.streaming import transforms as st
 
 
@@ -117,3 +118,62 @@ def test_default_stream_uses_the_feature_schema(spark, tmp_path):
     row = spark.read.parquet(str(tmp_path / "o")).first()
     sent = json.loads(row["value"])
     assert row["key"] == "7" and len(sent) == 63 and sent["is_night"] == 0 and "tx_fraud" not in sent
+
+
+def test_listener_keeps_the_account(spark, tmp_path):
+    """Batch by batch, also for a restart; a repeated report counts once."""
+    log = str(tmp_path / "log")
+    listener = progress.ProgressLog(spark, log, ("account",))
+    spark.streams.addListener(listener)
+    try:
+        for k, rows in enumerate([[(1, 1_700_000_000), (1, 1_700_000_000), (2, None)], [(3, 1_700_000_100), (1, 1_700_000_000)]]):
+            df = spark.createDataFrame(rows, "transaction_id bigint, unix_time bigint").select(F.to_json(F.struct("*")).alias("value"))
+            df.coalesce(1).write.mode("append").text(str(tmp_path / "in"))
+            stream = st.run_counted(spark.readStream.text(str(tmp_path / "in")), st.StreamConfig(schema=PAYLOAD))
+            running = st.run_to_files(stream, str(tmp_path / "o"), str(tmp_path / "c")).queryName("account").start()
+            running.awaitTermination()
+            progress.keep_finished(spark, log, running)
+    finally:
+        # the listener bus delivers before it is left
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        spark.streams.removeListener(listener)
+    rows = progress.balance(progress.read_progress(spark, log)).groupBy("runId").agg(
+        *[F.sum(c).alias(c) for c in ("received", "rejected", "late", "duplicates", "sent")], F.bool_and("balanced").alias("balanced")
+    )
+    assert sorted(tuple(r)[1:] for r in rows.collect()) == [(2, 0, 0, 1, 1, True), (3, 1, 0, 1, 1, True)]
+
+
+def test_lag_of_unread_and_new_partitions(spark, tmp_path):
+    report = {"runId": "r", "timestamp": "t"}
+    lines = [
+        {**report, "batchId": 0, "sources": [{"endOffset": {"a": {"0": 1}}, "latestOffset": {"a": {"0": 9}}}]},
+        {**report, "batchId": 1, "sources": [{"endOffset": {"a": {"0": 5}}, "latestOffset": {"a": {"0": 9, "1": 4}, "b": {"0": 2}}}]},
+    ]
+    progress.keep_progress(spark, str(tmp_path / "p"), map(json.dumps, lines))
+    lag = progress.lag_from_progress(progress.read_progress(spark, str(tmp_path / "p")))
+    assert sorted(map(tuple, lag.collect())) == [("a", 13, 5, 8), ("b", 2, 0, 2)]
+
+
+def test_score_job_keeps_counts_and_latency(spark, tmp_path, monkeypatch):
+    from tallywire.plans import jobs
+
+    class Known:
+        def __init__(self, *_):
+            pass
+
+        def resolve(self, *_):
+            return 1
+
+        def load(self, *_):
+            return None
+
+    messages_in = spark.readStream.schema("value string, timestamp timestamp").parquet(str(tmp_path))
+    scored = messages_in.select(F.lit(1).alias("transaction_id"), F.lit("fraud").alias("label"), F.lit("1").alias("version"), "timestamp", F.lit(0.5).alias("latency"))
+    monkeypatch.setattr(jobs, "Registry", Known)
+    monkeypatch.setattr(jobs, "kafka_source", lambda *a, **b: messages_in)
+    monkeypatch.setattr(jobs, "kafka_sink", lambda *a, **b: "sink")
+    monkeypatch.setattr(jobs, "score_stream", lambda *a, **b: messages_in)
+    monkeypatch.setattr(jobs, "scored_latency", lambda *a, **b: scored)
+    writers = jobs.score_job(spark, "h:1", "in", "out", str(tmp_path / "c"), "registry", rejects=str(tmp_path / "r"), metrics=str(tmp_path / "m"))
+    assert len(writers) == 4 and writers[0] == "sink"
+    assert len(jobs.score_job(spark, "h:1", "in", "out", str(tmp_path / "c"), "registry")) == 1

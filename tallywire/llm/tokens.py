@@ -237,7 +237,10 @@ def _seams(shared: Any):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = once_per_worker(shared, Transducer)
         for batch in batches:
-            counts = [transducer.count(WORDS.findall(text)) for text in batch.column("_seam").to_pylist()]
+            counts = [
+                inner + transducer.count(WORDS.findall(text))
+                for text, inner in zip(batch.column("_seam").to_pylist(), batch.column("_inner").to_pylist())
+            ]
             columns = [batch.column("_id"), batch.column("_row"), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["_id", "_row", "_tokens"])
 
@@ -280,8 +283,8 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
 def _totals(keyed: DataFrame, seams: DataFrame, shared: Any, kind: str) -> DataFrame:
     joined = F.array_join(F.transform("_ends", lambda x: x["_end"]), "")
-    inner = seams.select("_id", "_row", F.col("_inner").alias("_tokens"))
-    counted = seams.select("_id", "_row", joined.alias("_seam")).mapInArrow(_seams(shared), f"_id {kind}, _row long, _tokens long")
-    sums = counted.unionByName(inner).groupBy(F.col("_id").alias("_i"), F.col("_row").alias("_r")).agg(F.sum("_tokens").alias("n_tokens"))
+    # the tokens inside the chunks go along with the seams: the chunk maps are made once
+    counted = seams.select("_id", "_row", joined.alias("_seam"), "_inner").mapInArrow(_seams(shared), f"_id {kind}, _row long, _tokens long")
+    sums = counted.groupBy(F.col("_id").alias("_i"), F.col("_row").alias("_r")).agg(F.sum("_tokens").alias("n_tokens"))
     rows = keyed.select("_id", "_row", F.octet_length("_text").cast("long").alias("n_bytes"))
     return rows.join(sums, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_row") == F.col("_r"))).select("_id", "n_bytes", "n_tokens")

@@ -52,7 +52,7 @@ RULES = (
     Rule("login", 1, r"[A-Za-z][A-Za-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/@]{1,64}@"),
 )
 
-LEDGER = "blob string, rules array<string>, findings array<struct<kind:string,start:long,end:long>>"
+LEDGER = "blob string, rules array<string>, findings array<struct<rule:string,kind:string,start:long,end:long>>"
 
 
 def blob_of(text: Column) -> Column:
@@ -73,14 +73,16 @@ def _matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         values = F.regexp_extract_all("_text", F.lit(rule.pattern), F.lit(rule.group)) if rule.group else hits
         zipped = F.arrays_zip(hits.alias("hit"), values.alias("value"), F.split("_text", rule.pattern).alias("before"))
         cell = F.struct(
+            F.lit(rule.key).alias("rule"),
             F.lit(rule.kind).alias("kind"),
             F.lit(rule.min_chars).alias("min"),
             F.slice(zipped, F.lit(1), F.size(hits)).alias("all"),
         )
         cells.append(F.when(F.size(hits) > 0, cell))
     kinds = frame.select("blob", F.explode(F.array_compact(F.array(*cells))).alias("x"))
-    rows = kinds.select("blob", "x.kind", "x.min", F.posexplode("x.all").alias("i", "m")).select(
+    rows = kinds.select("blob", "x.rule", "x.kind", "x.min", F.posexplode("x.all").alias("i", "m")).select(
         "blob",
+        "rule",
         "kind",
         "i",
         F.length("m.before").cast("long").alias("gap"),
@@ -92,7 +94,7 @@ def _matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     upto = Window.partitionBy("blob", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.col("len")).over(upto)
     spans = rows.withColumn("end", end).where("counts")
-    return spans.select("blob", F.struct("kind", (F.col("end") - F.col("len")).alias("start"), "end").alias("finding"))
+    return spans.select("blob", F.struct("rule", "kind", (F.col("end") - F.col("len")).alias("start"), "end").alias("finding"))
 
 
 def scan(
@@ -125,12 +127,13 @@ def scan(
     found = _matches(texts.select("blob", "_text", F.col("want").alias("_want")), rules)
     found = found.groupBy("blob").agg(F.collect_list("finding").alias("findings"))
     rows = todo.join(found, "blob", "left").select(
-        "blob", F.col("want").alias("rules"), F.coalesce("findings", F.array().cast("array<struct<kind:string,start:long,end:long>>")).alias("findings")
+        "blob", F.col("want").alias("rules"), F.coalesce("findings", F.array().cast("array<struct<rule:string,kind:string,start:long,end:long>>")).alias("findings")
     )
     rows.write.mode("append").parquet(ledger)
 
     known = spark.read.schema(LEDGER).parquet(ledger)
-    known = known.select("blob", F.explode("findings").alias("f")).where(F.col("f.kind").isin([r.kind for r in rules]))
+    # findings of other versions of a rule stay in the ledger and are not read
+    known = known.select("blob", F.explode("findings").alias("f")).where(F.col("f.rule").isin([r.key for r in rules]))
     place = F.array_position(F.array(*[F.lit(r.kind) for r in rules]), F.col("f.kind"))
     by_blob = known.groupBy("blob").agg(
         F.array_sort(F.collect_set(F.struct("f.start", place.alias("place"), "f.end", "f.kind"))).alias("_all")

@@ -235,6 +235,20 @@ def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
     assert sorted(map(len, added)) == [1, 1, 3, 3, 4]
 
 
+def test_ledger_forgets_outdated_rule_versions(spark, tmp_path):
+    """A rule with another pattern and a higher version finds what a fresh ledger finds; the old version still finds its own."""
+    ledger = str(tmp_path / "ledger")
+    spark.createDataFrame([], secrets_scan.LEDGER).write.parquet(ledger)
+    docs = spark.createDataFrame([(1, "AKIA" + "Z" * 12 + " token=12345678"), (2, "AKIB" + "Y" * 12)], "doc_id long, text string")
+    old = secrets_scan.RULES[:2]
+    new = (old[0], old[1]._replace(version=old[1].version + 1, pattern=old[1].pattern.replace("AKIA", "AKIB")))
+    spans = lambda rules, where: {r["_id"]: sorted((f["kind"], f["start"], f["end"]) for f in r["findings"]) for r in secrets_scan.scan(docs, where, rules=rules).collect()}
+    first = spans(old, ledger)
+    assert first == {1: [("access", 0, 16), ("assign", 17, 31)], 2: []}
+    assert spans(new, ledger) == spans(new, None) == {1: [("assign", 17, 31)], 2: [("access", 0, 16)]}
+    assert spans(old, ledger) == first
+
+
 # --- near duplicates ---------------------------------------------------------------------------
 
 
@@ -451,3 +465,10 @@ def test_chunks_join_at_any_border(spark, monkeypatch):
     frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     got = {r["_id"]: r["n_tokens"] for r in tokens.count_tokens(frame, MODEL).collect()}
     assert got == {i: len(model.encode(t)) for i, t in enumerate(rows)}
+
+
+def test_chunks_are_counted_once(spark):
+    """One pass makes the chunk maps, one counts the seams."""
+    frame = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    plan = tokens.count_tokens(frame, MODEL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2

@@ -1,13 +1,14 @@
 """License scans by an exact set-similarity join of text blocks with license templates.
 
-A block is a run of words twice as long as the longest template, every block starting one template length after the one
-before, so any place a template can stand lies whole inside a block. A block matches a template if it holds at least
-`threshold` of the template's distinct words.
+A template is found where a run of consecutive words, at most 1 / `threshold` times as long as the template, holds at least
+`threshold` of its distinct words. Templates fall into size classes, powers of two over the length of such a run. A class cuts
+every text into blocks of twice its size, one starting a size after the other, so any run lies whole inside a block, and short
+templates meet short blocks only.
 
 Words are ordered by the number of documents that hold them, over all documents, rarest first. A block that
 reaches the threshold must hold one of the template's first |T| - need + 1 words (prefix filter), must have at least
 `need` template words at all (length filter), and from the places of a shared word in both ordered lists enough
-words must be left (positional filter). What passes is verified by the exact overlap. The templates are a list of
+words must be left (positional filter). What passes is verified by the exact overlap of its runs. The templates are a list of
 constants, so their words and prefixes are bounded whatever the documents are.
 
 Edge cases: null texts are empty. Rows of one id are told apart by their texts; repeated rows get the same result.
@@ -20,7 +21,7 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywire.llm.text import lower_ascii, text_key, written
@@ -76,15 +77,29 @@ def phrase_figures(words: Column) -> dict[str, Column]:
     }
 
 
+def constant_rows(spark: SparkSession, rows: Sequence[dict[str, Column]]) -> DataFrame:
+    """The rows as SQL literals."""
+    return spark.range(1).select(F.inline(F.array(*[F.struct(*[c.alias(n) for n, c in row.items()]) for row in rows])))
+
+
+def word_array(words: Sequence[str]) -> Column:
+    return F.array(*map(F.lit, words))
+
+
 def word_order(docs: DataFrame, text_col: str, vocabulary: Sequence[str]) -> DataFrame:
     """One row: the template words, rarest first by documents over the whole table, ties by the word."""
-    held = docs.select(F.explode(F.array_intersect(F.array(*map(F.lit, vocabulary)), license_words(F.col(text_col)))).alias("word"))
+    held = docs.select(F.explode(F.array_intersect(word_array(vocabulary), license_words(F.col(text_col)))).alias("word"))
     # words that no document holds count once too
-    every = docs.sparkSession.createDataFrame([(w,) for w in vocabulary], "word string")
+    every = docs.sparkSession.range(1).select(F.explode(word_array(vocabulary)).alias("word"))
     counts = held.unionByName(every).groupBy("word").agg(F.count("*").alias("n"))
     return counts.agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "word"))), lambda x: x["word"]).alias("words"))
 
 
+def run_length(words: Sequence[str], threshold: float) -> int:
+    """The most consecutive words that a template may be spread over."""
+    return math.ceil(len(words) / threshold - 1e-9)
+
+
 def template_matches(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -92,39 +107,69 @@ def template_matches(
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     threshold: float = 0.9,
 ) -> DataFrame:
-    """_id, _row, block (number), template (index), label, containment: every block and template that match."""
+    """_id, _row, block (its first word), template (index), label, containment: every block and template that match."""
     spark = docs.sparkSession
     texts = [(i, label, template_words(text)) for i, (label, text) in enumerate(templates)]
     texts = [(i, label, words) for i, label, words in texts if words]
     vocabulary = sorted({w for _, _, words in texts for w in words})
-    step = max((len(words) for _, _, words in texts), default=1)
     found = "_id {}, _row long, block int, template int, label string, containment double"
     if not vocabulary:
         return spark.createDataFrame([], found.format(docs.schema[id_col].dataType.simpleString()))
     order = written(word_order(docs, text_col, vocabulary), "word-order")
-    sizes = [(i, label, words, len(set(words)), math.ceil(threshold * len(set(words)) - 1e-9)) for i, label, words in texts]
-    rules = spark.createDataFrame(sizes, "template int, label string, words array<string>, size int, need int")
+    classes: dict[int, list[tuple[int, str, list[str]]]] = {}  # size of a class -> its templates
+    for i, label, words in texts:
+        classes.setdefault(1 << (run_length(words, threshold) - 1).bit_length(), []).append((i, label, words))
+
+    def need(words: list[str]) -> int:
+        return math.ceil(threshold * len(set(words)) - 1e-9)
+
+    rules = constant_rows(
+        spark,
+        [
+            {
+                "class": F.lit(step), "template": F.lit(i), "label": F.lit(label), "words": word_array(words), "run": F.lit(run_length(words, threshold)),
+                "size": F.lit(len(set(words))), "need": F.lit(need(words)),
+            }
+            for step, members in classes.items()
+            for i, label, words in members
+        ],
+    )
     rules = rules.withColumn("words", F.array_intersect(order.scalar(), "words"))
     prefix = rules.withColumn("prefix", F.slice("words", F.lit(1), F.col("size") - F.col("need") + 1))
-    starts = prefix.agg(F.array_distinct(F.flatten(F.collect_list("prefix")))).scalar()
-    least = min(need for *_, need in sizes)
 
-    # whole documents without a prefix word leave before any block is cut
+    def cut(step: int, members: list[tuple[int, str, list[str]]]) -> Column:
+        """Blocks of a class with enough of its words; none for documents without a word of its prefixes."""
+        starts = prefix.where(F.col("class") == step).agg(F.array_distinct(F.flatten(F.collect_list("prefix")))).scalar()
+        slices = F.transform(
+            F.sequence(F.lit(0), F.size("_w") - 1, F.lit(step)),
+            lambda at: F.struct(F.lit(step).alias("class"), at.alias("at"), F.slice("_w", at + 1, F.lit(2 * step)).alias("text")),
+        )
+        blocks = F.transform(
+            slices, lambda b: F.struct(b["class"].alias("class"), b["at"].alias("at"), b["text"].alias("text"), F.array_intersect(F.col(f"_order_{step}"), b["text"]).alias("tokens"))
+        )
+        least = min(need(words) for *_, words in members)
+        enough = F.filter(blocks, lambda b: F.size(b["tokens"]) >= least)
+        return F.when((F.size("_w") > 0) & F.arrays_overlap("_w", starts), enough)
+
     rows = docs.select(F.col(id_col).alias("_id"), text_key(F.col(text_col)).alias("_row"), license_words(F.col(text_col)).alias("_w"))
-    rows = rows.where(F.arrays_overlap("_w", starts)).withColumn("_order", order.scalar())
-    cut = F.transform(
-        F.sequence(F.lit(0), F.size("_w") - 1, F.lit(step)),
-        lambda i: F.array_intersect(F.col("_order"), F.slice("_w", i + 1, F.lit(2 * step))),
-    )
-    blocks = rows.select("_id", "_row", F.posexplode(cut).alias("block", "_tokens")).where(F.size("_tokens") >= least)
-    probes = blocks.select("_id", "_row", "block", "_tokens", F.posexplode("_tokens").alias("_j", "_token"))
-    index = prefix.select("template", "label", "words", "size", "need", F.posexplode("prefix").alias("_i", "_start"))
-    left = F.size("_tokens")
+    for step, members in classes.items():
+        own = word_array(sorted({w for *_, words in members for w in words}))
+        rows = rows.withColumn(f"_order_{step}", order.select(F.array_intersect("words", own)).scalar())
+    cuts = F.flatten(F.array_compact(F.array(*[cut(step, members) for step, members in classes.items()])))
+    blocks = rows.select("_id", "_row", F.explode(cuts).alias("b")).select("_id", "_row", "b.*")
+    probes = blocks.select("_id", "_row", F.col("class").alias("_class"), "at", "text", "tokens", F.posexplode("tokens").alias("_j", "_token"))
+    index = prefix.select("class", "template", "label", "words", "run", "size", "need", F.posexplode("prefix").alias("_i", "_start"))
+    left = F.size("tokens")
     possible = F.least("_i", "_j") + 1 + F.least(F.col("size") - F.col("_i") - 1, left - F.col("_j") - 1)
     # the index is built from the constant templates: a few rows each
-    pairs = probes.join(F.broadcast(index), (F.col("_token") == F.col("_start")) & (left >= F.col("need")) & (possible >= F.col("need")))
-    shared = F.size(F.array_intersect("_tokens", "words"))
-    return pairs.where(shared >= F.col("need")).select("_id", "_row", "block", "template", "label", (shared / F.col("size")).alias("containment")).distinct()
+    pairs = probes.join(
+        F.broadcast(index),
+        (F.col("_class") == F.col("class")) & (F.col("_token") == F.col("_start")) & (left >= F.col("need")) & (possible >= F.col("need")),
+    ).where(F.size(F.array_intersect("tokens", "words")) >= F.col("need"))
+    runs = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("text") - F.col("run") + 1))
+    shared = F.array_max(F.transform(runs, lambda at: F.size(F.array_intersect(F.col("words"), F.slice("text", at, F.col("run"))))))
+    held = pairs.withColumn("_shared", shared).where(F.col("_shared") >= F.col("need"))
+    return held.select("_id", "_row", F.col("at").alias("block"), "template", "label", (F.col("_shared") / F.col("size")).alias("containment")).distinct()
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -152,8 +152,7 @@ def test_blocks_of_subtrees_keep_groups_whole(monkeypatch):
 
 
 def test_licenses(spark, texts):
-    known = [(label, set(licenses.template_words(t))) for label, t in licenses.TEMPLATES]
-    step = max(len(licenses.template_words(t)) for _, t in licenses.TEMPLATES)
+    known = [(label, licenses.template_words(t)) for label, t in licenses.TEMPLATES]
     for r in QUERIES["op3_licenses"](spark, SF).collect():
         words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", texts[r["doc_id"]].translate(LOWER))
         places, base, score = [], set(), 0.0
@@ -163,10 +162,10 @@ def test_licenses(spark, texts):
             places += hits
             base |= {label} if hits else set()
         labels = set(base)
-        for i in range(0, len(words), step):
-            block = set(words[i : i + 2 * step])
-            for label, template in known:
-                share = len(block & template) / len(template)
+        for label, template in known:
+            run = -(-len(template) * 10 // 9)
+            for i in range(max(1, len(words) - run + 1)):
+                share = len(set(words[i : i + run]) & set(template)) / len(set(template))
                 if share >= 0.9:
                     labels.add(label)
                     score = max(score, share)
@@ -174,6 +173,30 @@ def test_licenses(spark, texts):
         assert tuple(r)[1:-1] == want and r["score"] == pytest.approx(score)
 
 
+def test_licenses_need_their_words_close_together(spark):
+    rows = [
+        (1, "MIT researchers released a paper. Later the license plate was found under the bridge", ""),
+        (2, "licensed nurses under 40 saw by CC train nc line 0 stops 4 times", ""),
+        (3, "x " * 300 + "it is released under the MIT license", "mit"),
+        (4, "licensed (under) CC-BY-NC 4.0", "cc-by-nc"),
+        (5, " ".join(w if i % 20 else f"{w} ACME" for i, w in enumerate(licenses.TEMPLATES[8][1].split())), "mit"),
+        (6, "nine words before it and a license under which the MIT text was released", ""),
+    ]
+    frame = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r["_id"]: ",".join(x for x in r["labels"] if x not in r["base_labels"]) for r in licenses.scan_licenses(frame).collect()}
+    assert got == {i: want for i, _, want in rows}
+
+
+def test_license_templates_of_any_length(spark):
+    """A class per power of two: a template of 700 words, cut short by a few and with others put in, among one of two words."""
+    rng = random.Random(2)
+    body = [f"w{rng.randint(0, 400)}" for _ in range(700)]
+    copy = [w for i, w in enumerate(body) if i % 50]
+    frame = spark.createDataFrame([(1, " ".join(["a"] * 33 + copy + ["a"] * 900)), (2, " ".join(body[:350])), (3, "short one")], "doc_id long, text string")
+    found = licenses.template_matches(frame, templates=[("long", " ".join(body)), ("two", "Short One")]).collect()
+    assert {(r["_id"], r["label"]) for r in found} == {(1, "long"), (3, "two")}
+
+
 def test_license_places_over_lines(spark):
     text = "x\nCC\nby y general public\nLicense all rights reserved cc bye. cc-by"
     frame = spark.createDataFrame([(1, text)], "doc_id long, text string")

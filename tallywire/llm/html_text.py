@@ -3,9 +3,12 @@
 A page is read into a tree. Each block with text passes points, for its length and its commas, to the elements around
 it: all to its parent, half to the next, less further up. An element's points are discounted by its link density.
 The element with most points is the container; if it lies in an `article` or `main`, that is taken instead. Siblings of
-a container that is neither are kept when they have a fair share of its points or are text blocks with few links.
+a container that is neither are kept when they have a fair share of its points, or few links and prose; siblings of an
+article when they have few links and are articles, or lie in the same `main`.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, hidden parts and reader comments are left
-out wherever they stand, by element, role, class or id.
+out wherever they stand, by element, role, class or id. Two kinds are judged by what they hold, once the page is read: a
+form around most of the page's text and all its articles is no form, and a name that only contains a word of both uses ("share-price") stands
+for article text if the element lies in an article, has few links and no marked part inside.
 
 Edge cases: null or empty html, or a page without text, gives an empty text. Unclosed, misnested and stray tags are
 read as browsers would nearly do; nothing recurses, so depth does not matter. Rows are kept as they are, repeats too.
@@ -53,6 +56,17 @@ MARKS = frozenset(
     "skyscraper social sponsor sponsored subscribe subscription teaser toolbar tooltip topbar widget widgets".split()
 )
 ARTICLE_MARKS = frozenset("comment comments reply teaser related ad advert promo sponsored".split())
+#: marks that article text uses too, and words that go with them where they do name another part
+EITHER = frozenset(
+    "alert alerts community copyright discussion notice notices promotion reactions recommended related replies responses share shares social".split()
+)
+USUAL = frozenset(
+    "a and area article articles bar block body bottom box btn button buttons col column container content count counts footer group heading icon "
+    "icons inner item items js legal like link links list lists main media module more news outer page panel post posts reader readers row section "
+    "site stories story text the this title to tool tools top user users videos widget wrap wrapper you your".split()
+)
+#: marks that are common headings, so as an id they may name a section
+HEADINGS = frozenset("community copyright discussion notice notices reactions responses".split())
 BESIDE = frozenset("with has no without hide show near".split())
 STATES = frozenset("open closed enabled disabled visible left right active".split())
 #: elements whose own class does not decide
@@ -71,45 +85,61 @@ CLOSES = {
 }
 P_BORDERS = frozenset("article aside blockquote body button caption div dl fieldset figure footer form header html li main nav object section table td th ul ol".split())
 TEXT_BLOCKS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl table figure".split())
+#: share of linked characters below which a part has few links, and characters of a block of prose
+FEW_LINKS, PROSE = 0.25, 80
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 NOT_WORD = re.compile(r"[^a-z0-9]+")
 
 
-def _marked(value: str, marks: frozenset) -> bool:
-    """A word of the value names another part of a page, and is not said to be absent or beside ("has-sidebar")."""
-    for text in (value.lower(), CAMEL.sub(" ", value).lower()):
-        words = NOT_WORD.split(text)
-        for i, word in enumerate(words):
-            if word in marks and not (i and words[i - 1] in BESIDE) and not (i + 1 < len(words) and words[i + 1] in STATES):
-                return True
-    return False
+#: what stands against an element: nothing, a name of both uses, a form, a mark, its kind
+IN, DOUBT, FORM, MARKED, OUTSIDE = range(5)
+
+
+def _marked(value: str, marks: frozenset) -> int:
+    """MARKED if a name of the value names another part of a page, and does not say it is absent or beside ("has-sidebar").
 
+    DOUBT if the names only hold marks of both uses beside words that do not go with another part.
+    """
+    worst = IN
+    for name in {*value.lower().split(), *CAMEL.sub("-", value).lower().split()}:
+        words = NOT_WORD.split(name)
+        hits = [
+            word
+            for i, word in enumerate(words)
+            if word in marks and not (i and words[i - 1] in BESIDE) and not (i + 1 < len(words) and words[i + 1] in STATES)
+        ]
+        if hits:
+            both = EITHER.issuperset(hits) and not all(w in marks or w in USUAL or w.isdigit() or not w for w in words)
+            worst = max(worst, DOUBT if both else MARKED)
+    return worst
 
-def _unwanted(name: str, attrs: str) -> bool:
-    if name in OUT:
-        return True
-    if not attrs or attrs.isspace():
-        return False
+
+def _unwanted(name: str, attrs: str) -> int:
+    worst = FORM if name == "form" else OUTSIDE if name in OUT else IN
+    if worst == OUTSIDE or not attrs or attrs.isspace():
+        return worst
     for found in ATTR.finditer(attrs):
         key = found[1].lower()
         value = found[2] or found[3] or found[4] or ""
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return OUTSIDE
         if key == "role" and value.lower() in ROLES:
-            return True
+            return OUTSIDE
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return OUTSIDE
         if key in ("class", "id") and (name not in ROOTS or name == "article"):
-            if _marked(value, MARKS if name != "article" else ARTICLE_MARKS):
-                return True
-    return False
+            mark = _marked(value, MARKS if name != "article" else ARTICLE_MARKS)
+            if mark == MARKED and key == "id" and name in ("section", "div") and value.lower() in HEADINGS:
+                mark = DOUBT
+            worst = max(worst, mark)
+    return worst
 
 
 class Page:
     """The tree as lists by element number, in page order: a parent has a smaller number than its children."""
 
     def __init__(self, html: str):
-        self.name, self.parent, self.out, self.link, self.block = ["#"], [-1], [False], [False], [0]
+        self.name, self.parent, self.out, self.link, self.block, self.why = ["#"], [-1], [False], [False], [0], [IN]
         self.texts: list[tuple[int, str]] = []  # (element, decoded text)
         self.stack = [0]
         at, size = 0, len(html)
@@ -156,7 +186,8 @@ class Page:
         here, number = self.stack[-1], len(self.name)
         self.name.append(name)
         self.parent.append(here)
-        self.out.append(self.out[here] or _unwanted(name, attrs))
+        self.why.append(_unwanted(name, attrs))
+        self.out.append(self.out[here] or self.why[-1] >= MARKED)
         self.link.append(self.link[here] or name == "a")
         self.block.append(number if name in BLOCK else self.block[here])
         if name in BLOCK or name == "br":
@@ -174,10 +205,11 @@ class Page:
             if self.name[self.stack[i]] in ("article", "main", "table") and name not in BLOCK:
                 return
 
-    def main_text(self) -> str:
+    def _lengths(self) -> tuple[list[int], list[int], dict[int, list[int]]]:
+        """Characters and linked characters of every element, and characters and commas that blocks hold themselves."""
         n = len(self.name)
         length, linked = [0] * n, [0] * n
-        own: dict[int, list[int]] = {}  # block -> characters, commas
+        own: dict[int, list[int]] = {}
         for element, text in self.texts:
             size = len(text) - text.count("\n") if text.isspace() is False else 0
             if size and not self.out[element]:
@@ -189,6 +221,36 @@ class Page:
         for i in range(n - 1, 0, -1):
             length[self.parent[i]] += length[i]
             linked[self.parent[i]] += linked[i]
+        return length, linked, own
+
+    def _settle(self) -> None:
+        """Take out forms and doubtful names that do not hold article text."""
+        if not any(why in (DOUBT, FORM) for why in self.why):
+            return
+        n = len(self.name)
+        length, linked, _ = self._lengths()
+        # paragraphs, articles and marked parts inside; in an article
+        parts, articles, marks, article = [0] * n, [0] * n, [0] * n, [False] * n
+        for i in range(n - 1, 0, -1):
+            up = self.parent[i]
+            parts[up] += parts[i] + (self.name[i] == "p" and not self.out[i])
+            articles[up] += articles[i] + (self.name[i] in ("article", "main") and not self.out[i])
+            marks[up] += marks[i] + (self.why[i] == MARKED)
+        for i in range(1, n):
+            up = self.parent[i]
+            article[i] = article[up] or self.name[up] in ("article", "main")
+            if self.why[i] == FORM:
+                stays = 2 * length[i] > length[0] and articles[i] == articles[0] and (articles[0] > 0 or parts[i] > 1)
+            elif self.why[i] == DOUBT:
+                stays = article[i] and not marks[i] and linked[i] < FEW_LINKS * length[i]
+            else:
+                stays = True
+            self.out[i] = self.out[i] or self.out[up] or not stays
+
+    def main_text(self) -> str:
+        n = len(self.name)
+        self._settle()
+        length, linked, own = self._lengths()
         if not length[0]:
             return ""
 
@@ -205,28 +267,42 @@ class Page:
                 share, up = 1 / (2 if level == 0 else 3 * level), self.parent[up]
         score = [p * (1 - linked[i] / length[i]) if length[i] and not self.out[i] else 0.0 for i, p in enumerate(points)]
         best = max(range(n), key=lambda i: (score[i], -i))
-        kept = self._kept(best, score, length, linked)
+        kept = self._kept(best, score, length, linked, {b for b, (size, _) in own.items() if size >= PROSE})
         inside = [False] * n
         for i in range(n):
             inside[i] = i in kept or (i > 0 and inside[self.parent[i]])
         parts = [t if inside[e] else "\n" for e, t in self.texts if not self.out[e]]
         return " ".join("".join(parts).split())
 
-    def _kept(self, best: int, score: list[float], length: list[int], linked: list[int]) -> set[int]:
-        up = best
+    def _kept(self, best: int, score: list[float], length: list[int], linked: list[int], prose: set[int]) -> set[int]:
+        top = up = best
         while up > 0:
-            if self.name[up] in ("article", "main"):
-                return {up}
+            if self.name[up] == "article":
+                top = up  # the outermost
+            elif self.name[up] == "main":
+                if self.name[top] != "article":
+                    return {up}
+                break
             up = self.parent[up]
-        if best == 0 or self.name[best] in ("html", "body"):
+        article = self.name[top] == "article"
+        if not article and (best == 0 or self.name[best] in ("html", "body")):
             return {best}
-        kept, around = {best}, self.parent[best]
+        kept, around = {top}, self.parent[top]
+        holds = set()  # elements with a block of prose
+        for block in prose:
+            while block > around and block not in holds:
+                holds.add(block)
+                block = self.parent[block]
         for i in range(around + 1, len(self.name)):
             if self.parent[i] == around and not self.out[i] and length[i]:
-                few_links = linked[i] < 0.25 * length[i]
-                if score[i] >= 0.2 * score[best] or (self.name[i] in TEXT_BLOCKS and few_links):
+                few_links = linked[i] < FEW_LINKS * length[i]
+                if article:
+                    fair = few_links and (self.name[i] == "article" or self.name[around] == "main")
+                else:
+                    fair = score[i] >= 0.2 * score[best] or (few_links and (self.name[i] in TEXT_BLOCKS or i in holds))
+                if fair:
                     kept.add(i)
-        if any(e == around and not t.isspace() for e, t in self.texts):
+        if not article and any(e == around and not t.isspace() for e, t in self.texts):
             kept = {around}  # text between the siblings belongs to them
         return kept
 

@@ -446,6 +446,14 @@ HARD = {
     "text < 5 and <b>more": "text < 5 and more",
     "": "",
     "<div><nav>n</nav></div>": "",
+    "<body><form id=aspnetForm><nav>m</nav><div><p>One, two.</p><p>Three <input>four.</p></div><label>l</label></form>": "One, two. Three four.",
+    "<main><article><p>First, long, of the two.</p></article><article><p>Second.</p></article><article class=teaser>t</article></main>": "First, long, of the two. Second.",
+    "<body><article><p>Text, of it.</p></article><form><p>Name, mail</p><p>Send, now</p></form></body>": "Text, of it.",
+    "<article><p>Some text, here.</p><div class='related-work'><p>Others did it.</p></div><p class='share-price'>It fell.</p><section id='discussion'><h2>Discussion</h2><p>We saw.</p></section></article>": "Some text, here. Others did it. It fell. Discussion We saw.",
+    "<article><p>Some text, here.</p><div class='related-posts'><p>x</p></div><div id='discussion'>Talk<div class='comment'>c</div></div><div class='share-icons-row'>s</div><p class='related-gems'><a>l</a></p></article>": "Some text, here.",
+    "<div class='sidebar left'><p>s, s, s</p></div><div class='page sidebar-open'><p>Text, text.</p></div>": "Text, text.",
+    "<article><p>Outer, one.</p><article><p>Inner, with, many, commas.</p></article></article>": "Outer, one. Inner, with, many, commas.",
+    "<main><h1>Head</h1><article><p>Body, text.</p></article><ul><li><a>more</a></ul></main>": "Head Body, text.",
 }
 
 
@@ -454,6 +462,45 @@ def test_hard_pages(page):
     assert html_text.main_text(page) == HARD[page]
 
 
+WORDS = "river stone paper light window garden letter market engine silver".split()
+AROUND = (
+    lambda r: f"<nav><ul>{''.join(f'<li><a href=x>{w}</a>' for w in r.sample(WORDS, 5))}</ul></nav>",
+    lambda r: f"<div class='{r.choice(['ad', 'top-banner', 'cookie-notice', 'sidebar left', 'newsletterBox'])}'><p>zz, {r.choice(WORDS)}, zz</p></div>",
+    lambda r: f"<footer><p>zz {r.choice(WORDS)}</p></footer>",
+    lambda r: "<script>if (a < b) document.write('<p>zz</p>');</script><style>p > b {}</style><!-- <p>zz</p> -->",
+    lambda r: "<form action=x><p>zz, your mail</p><input><select><option>zz</select></form>",
+    lambda r: f"<section class='{r.choice(['comments', 'user-comments', 'commentList'])}'><div><p>zz, I say, {r.choice(WORDS)}.</p></div></section>",
+    lambda r: "<p hidden>zz</p><div role=navigation>zz</div><aside>zz, zz</aside>",
+)
+
+
+def planted_page(rng):
+    """A page and the text of its article, known because it was put there."""
+    shown, said = [], []
+    for _ in range(rng.randint(3, 12)):
+        words = [rng.choice(WORDS) + rng.choice(["", "", ","]) for _ in range(rng.randint(8, 60))]
+        text = " ".join(words) + " &amp; so."
+        kind = rng.randint(0, 4)
+        inline = text.replace(words[2] + " ", f"<{rng.choice(['b', 'em', 'span'])}>{words[2]}</b></em></span> ", 1) if kind == 0 else text
+        shown.append({1: f"<blockquote><p>{text}</p></blockquote>", 2: f"<ul><li>{text}</ul>", 3: f"<p>{text}"}.get(kind, f"<p>{inline}</p>"))
+        said.append(html.unescape(text))
+    middle = rng.randint(1, len(shown) - 1)
+    noise = lambda: "".join(f(rng) for f in rng.sample(AROUND, rng.randint(0, 3)))
+    body = "\n ".join(shown[:middle]) + noise() + "\n".join(shown[middle:])
+    around = rng.choice(["<article>{}</article>", "<main>{}</main>", "<div class=content>{}</div>", "<main><article>{}</article></main>"])
+    page = f"<div class=wrap>{noise()}{around.format(body)}{noise()}</div>"
+    if rng.random() < 0.2:
+        page = f"<form id=all method=post>{page}<input type=hidden></form>"
+    return f"<!DOCTYPE html><html><head><title>zz</title></head><body>{noise()}{page}{noise()}</body></html>", " ".join(" ".join(said).split())
+
+
+def test_planted_pages():
+    rng = random.Random(8)
+    for _ in range(500):
+        page, want = planted_page(rng)
+        assert html_text.main_text(page) == want, page
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "deep, very deep") == "deep, very deep"
     body = "".join(f"<p>Sentence {i}, with a comma.</p>" for i in range(5000))

@@ -21,7 +21,7 @@ from tallywire.queries.common import (
     write_csv,
 )
 from tallywire.session import scratch_path
-from tallywire.sources import files, messages, state
+from tallywire.sources import compaction, files, messages, state
 
 
 @query("csv_permissive_scan", f"WITH {TX_CSV} SELECT * FROM tx_csv")
@@ -108,6 +108,45 @@ def write_read_by_date(spark, sf):
     return rounded(back.agg(F.count(F.lit(1)).alias("n"), F.sum("tx_amount").alias("total")))
 
 
+@query(
+    "write_read_sorted",
+    f"WITH {TX} SELECT make_timestamp(unix_time * 1000000)::DATE AS date, count(*) AS n, min(unix_time) AS first, max(unix_time) AS last, "
+    "0::BIGINT AS inversions FROM tx GROUP BY 1",
+)
+def write_read_sorted(spark, sf):
+    """Rows that stand before an earlier one in the files of `write_partitioned`, by date."""
+    path = scratch_path(spark, "sorted")
+    files.write_partitioned(with_calendar(tx(spark, sf)), path, "date", "unix_time")
+    return _by_date(compaction.inversions(spark.read.parquet(path), "unix_time", ["date"]))
+
+
+def _by_date(inverted):
+    figures = [F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum("inversions").alias("inversions")]
+    return inverted.groupBy("date").agg(*figures)
+
+
+@query(
+    "compacted_table",
+    f"""WITH {TX} SELECT make_timestamp(unix_time * 1000000)::DATE AS date, count(*) AS n, min(unix_time) AS first, max(unix_time) AS last,
+           0::BIGINT AS inversions, {r6('sum(tx_amount)', 'total')}, count(DISTINCT transaction_id % 5) AS files_before, 1::BIGINT AS files_after
+    FROM tx GROUP BY 1""",
+)
+def compacted_table(spark, sf):
+    """The events by date, written in five small files a day and compacted to one."""
+    path, done = scratch_path(spark, "small-files"), scratch_path(spark, "compaction")
+    rows = with_calendar(tx(spark, sf)).withColumn("_part", (F.col("transaction_id") % 5).cast("int"))
+    rows = rows.repartitionById(5, "_part").sortWithinPartitions("date", "unix_time").drop("_part")
+    rows.write.partitionBy("date").parquet(path)
+    before = compaction.inversions(spark.read.parquet(path), "unix_time", ["date"]).groupBy("date").agg(F.count("*").alias("files_before"))
+    before.write.parquet(f"{done}/before")
+    compaction.compact(spark, path, f"{done}/state", f"{done}/staged", "date", "unix_time")
+    back = spark.read.parquet(path)
+    files_after = compaction.inversions(back, "unix_time", ["date"])
+    after = _by_date(files_after).join(files_after.groupBy("date").agg(F.count("*").alias("files_after")), "date")
+    totals = rounded(back.groupBy("date").agg(F.sum("tx_amount").alias("total")))
+    return after.join(totals, "date").join(spark.read.parquet(f"{done}/before"), "date")
+
+
 @query(
     "archive_by_day",
     f"""WITH {TX}, m AS (SELECT *, make_timestamp(unix_time * 1000000) AT TIME ZONE 'UTC'

@@ -1,3 +1,6 @@
+from concurrent.futures import ThreadPoolExecutor
+from threading import Barrier
+
 import pytest
 from conftest import SF
 from pyspark.ml import Pipeline
@@ -10,8 +13,11 @@ from tallywire.queries.common import tx
 from tallywire.session import scratch_path, shared_folder
 from tallywire.sources.state import (
     RUNS,
+    STATE,
+    Conflict,
     Registry,
     log_run,
+    put_if_absent,
     read_feature_spec,
     read_or_empty,
     read_state,
@@ -29,6 +35,58 @@ def test_state_starts_empty_and_keeps_the_last(spark, tmp_path):
     assert read_state(spark, path) == {"old_end_datetime": 3}
 
 
+def at_once(n, write):
+    """Results of n calls that start together."""
+    with ThreadPoolExecutor(n) as pool:
+        start = Barrier(n)
+
+        def one(i):
+            start.wait()
+            return write(i)
+
+        return list(pool.map(one, range(n)))
+
+
+def test_two_writers_get_two_numbers(spark, tmp_path):
+    path = str(tmp_path / "state")
+    assert sorted(at_once(4, lambda i: write_state(spark, path, {"writer": i}))) == [1, 2, 3, 4]
+    rows = read_or_empty(spark, path, STATE).orderBy("seq").collect()
+    assert [r["seq"] for r in rows] == [1, 2, 3, 4] and len({r["state"] for r in rows}) == 4
+
+
+def test_a_state_that_moved_on_is_a_conflict(spark, tmp_path):
+    path = str(tmp_path / "state")
+    first = write_state(spark, path, {"a": 1}, expected=0)
+
+    def write(i):
+        try:
+            return write_state(spark, path, {"writer": i}, expected=first)
+        except Conflict:
+            return None
+
+    got = at_once(3, write)
+    assert sorted(got, key=str) == [2, None, None] and read_state(spark, path) == {"writer": got.index(2)}
+
+
+def test_a_taken_name_stays(spark, tmp_path):
+    (tmp_path / "new").write_text("new")
+    (tmp_path / "old").write_text("old")
+    assert not put_if_absent(spark, f"file:{tmp_path}/new", f"file:{tmp_path}/old")
+    assert (tmp_path / "old").read_text() == "old" and (tmp_path / "new").read_text() == "new"
+    assert put_if_absent(spark, f"file:{tmp_path}/new", f"file:{tmp_path}/free")
+    assert (tmp_path / "free").read_text() == "new" and not (tmp_path / "new").exists()
+
+
+def test_two_registrations_get_two_versions(spark, tmp_path):
+    registry = Registry(spark, str(tmp_path))
+    df = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
+    models = [Pipeline(stages=[VectorAssembler(inputCols=[c], outputCol="v")]).fit(df) for c in ("x", "y")]
+    versions = at_once(2, lambda i: registry.register(models[i], "m"))
+    assert sorted(versions) == [1, 2] and registry.resolve("m") == 1
+    for version, col in zip(versions, ("x", "y")):
+        assert registry.load("m", version).stages[0].getInputCols() == [col]
+
+
 def test_registry_life(spark, tmp_path):
     registry = Registry(spark, str(tmp_path))
     assert registry.resolve("m") is None

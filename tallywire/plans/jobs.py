@@ -33,6 +33,7 @@ from tallywire.operators.slices import gaps, slice_range, span, with_clean_bound
 from tallywire.operators.split import split_by_time, time_folds, with_class_weight
 from tallywire.schemas import CONTRACT, FEATURE_INPUT, MODEL_INPUTS
 from tallywire.sources.files import hash_sample, read_raw_csv, read_table, write_partitioned
+from tallywire.sources.manifest import Manifest, parquet_files
 from tallywire.sources.messages import archive_stream, kafka_sink, kafka_source, rejected_records
 from tallywire.sources.state import RUNS, BatchLedger, Registry, input_example, log_run, read_or_empty, read_state, save_feature_spec, write_state
 from tallywire.streaming.transforms import StreamConfig, run_rejects, run_counted, score_stream, scored_latency, stream_counts, stream_histogram
@@ -59,6 +60,8 @@ class CleanConfig:
     batch: int = 0
     first_batch: int | None = None
     report: bool = False
+    #: folder of a file manifest: bounds come from it, and only files that hold ids of the batch are opened
+    manifest: str | None = None
 
 
 def clean_job(
@@ -66,16 +69,20 @@ def clean_job(
 ) -> dict | None:
     """Raw CSV to the clean table by week. Returns the bounds of the batch, None without enough data."""
     raw = read_raw_csv(spark, in_path)
+    files = Manifest(spark, cfg.manifest, in_path, "transaction_id", read_raw_csv) if cfg.manifest else None
+    if files:
+        files.refresh()
 
     def fresh(old: int) -> dict:
-        row = span(raw, "transaction_id")
+        row = files.span() if files else span(raw, "transaction_id")
         row = with_clean_bounds(row, old, cfg.record_limit, cfg.overlap, cfg.batch, cfg.first_batch)
         return row.select("start_id", "end_id", "keep_from").first().asDict()
 
     bounds = _bounds(spark, state_path, fresh)
     if bounds is None:
         return None
-    part = slice_range(raw, "transaction_id", bounds["start_id"], bounds["end_id"])
+    ids = bounds["start_id"], bounds["end_id"]
+    part = files.slice(*ids) if files else slice_range(raw, "transaction_id", *ids)
     result = dict(bounds)
     if cfg.report:
         result["corrupt"] = corrupt_report(part).first().asDict()
@@ -94,23 +101,34 @@ class FeatureJobConfig:
     batch: int = MONTH
     first_batch: int = MONTH
     features: FeatureConfig = field(default_factory=FeatureConfig)
+    #: folder of a file manifest: bounds come from it, and only files that hold times of the batch are opened
+    manifest: str | None = None
+
+
+def _times(spark: SparkSession, in_path: str, cfg: FeatureJobConfig) -> tuple[DataFrame, Callable[[dict], DataFrame]]:
+    """First and last time of the clean table, and its files that a batch has to open."""
+    table = read_table(spark, in_path)
+    if not cfg.manifest:
+        return span(table, "unix_time"), lambda bounds: table
+    files = Manifest(spark, cfg.manifest, in_path, "unix_time", parquet_files(in_path))
+    files.refresh()
+    return files.span(), lambda bounds: files.slice(bounds["start_time"], bounds["end_time"])
 
 
 def feature_job(
     spark: SparkSession, in_path: str, out_path: str, state_path: str, cfg: FeatureJobConfig = FeatureJobConfig()
 ) -> dict | None:
     """Clean table to feature rows by date. Returns the bounds of the batch, None without enough data."""
-    table = read_table(spark, in_path)
+    ends, rows_of = _times(spark, in_path, cfg)
 
     def fresh(old: int) -> dict:
-        row = span(table, "unix_time")
-        row = with_feature_bounds(row, old, cfg.overlap, cfg.time_limit, cfg.batch, cfg.first_batch)
+        row = with_feature_bounds(ends, old, cfg.overlap, cfg.time_limit, cfg.batch, cfg.first_batch)
         return row.select("start_time", "end_time", "good_time").first().asDict()
 
     bounds = _bounds(spark, state_path, fresh)
     if bounds is None:
         return None
-    _write_features(table, out_path, bounds, cfg)
+    _write_features(rows_of(bounds), out_path, bounds, cfg)
     write_state(spark, state_path, {DONE: bounds["end_time"]})
     return bounds
 
@@ -141,8 +159,8 @@ def backfill_job(
     written and as committed after it, on its own, so batches run in any order, and a run that was cut short goes on
     with the batches it left open, at the same bounds. Returns the batches of this run.
     """
-    table = read_table(spark, in_path)
-    ends = span(table, "unix_time").first()
+    times, rows_of = _times(spark, in_path, cfg)
+    ends = times.first()
     if ends["min_value"] is None:
         return []
     ledger = BatchLedger(spark, ledger_path)
@@ -153,7 +171,7 @@ def backfill_job(
     batches = (batches[::-1] if newest_first else batches)[:most]
     for bounds in batches:
         ledger.add([bounds], "started")
-        _write_features(table, out_path, bounds, cfg)
+        _write_features(rows_of(bounds), out_path, bounds, cfg)
         ledger.add([bounds], "committed")
     return batches
 

@@ -180,12 +180,29 @@ WHERE _corrupt IS NULL AND transaction_id >= 0 AND transaction_id >= lo AND tran
 def job_clean(spark, sf):
     out, state = scratch_path(spark, "clean"), scratch_path(spark, "clean-state")
     jobs.clean_job(spark, write_csv(spark, sf), out, state, jobs.CleanConfig(report=True))
+    return _cleaned(spark, out)
+
+
+def _cleaned(spark, out) -> DataFrame:
     return spark.read.parquet(out).select(
         "transaction_id", "unix_time", "customer_id", "terminal_id", "tx_amount", "tx_fraud",
         F.col("week").cast("date").alias("week"),
     )
 
 
+@query("job_clean_manifest", _CLEAN_SQL)
+def job_clean_manifest(spark, sf):
+    """The raw lines arrive in two halves by id, each followed by a run whose bounds and files come from the manifest."""
+    raw, out, state, noted = (scratch_path(spark, n) for n in ("raw-csv", "clean", "clean-state", "manifest"))
+    lines = spark.read.text(write_csv(spark, sf)).withColumn("_id", F.split("value", ",")[0].try_cast("bigint"))
+    half = lines.agg(F.percentile_approx("_id", 0.5)).scalar()
+    cfg = jobs.CleanConfig(record_limit=1, manifest=noted)
+    for part in (F.col("_id") <= half, ~F.coalesce(F.col("_id") <= half, F.lit(False))):
+        lines.where(part).select("value").write.mode("append").text(raw)
+        jobs.clean_job(spark, raw, out, state, cfg)
+    return _cleaned(spark, out)
+
+
 # the month of events spread over three, so that the default look-back fits in
 def _long_tx(spark, sf) -> DataFrame:
     return tx(spark, sf).withColumn("unix_time", EPOCH_2024 + 3 * (F.col("unix_time") - EPOCH_2024))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywire.functions import with_calendar
+from tallywire.functions import DAY, date_of, with_calendar
 from tallywire.operators.clean import with_clean_time
 from tallywire.operators.slices import span
 from tallywire.queries.common import (
@@ -21,7 +21,7 @@ from tallywire.queries.common import (
     write_csv,
 )
 from tallywire.session import scratch_path
-from tallywire.sources import compaction, files, messages, state
+from tallywire.sources import compaction, files, manifest, messages, state
 
 
 @query("csv_permissive_scan", f"WITH {TX_CSV} SELECT * FROM tx_csv")
@@ -264,3 +264,41 @@ def run_log(spark, sf):
     return rounded(state.runs_wide(state.read_or_empty(spark, path, state.RUNS), ["n", "share", "top"]))
 
 
+@query(
+    "file_zones",
+    f"""WITH {TX}, d AS (SELECT *, make_timestamp(unix_time * 1000000)::DATE AS date FROM tx),
+    cut AS (SELECT make_timestamp((min(unix_time) + max(unix_time)) // 2 * 1000000)::DATE AS half FROM tx)
+    SELECT date, count(*) AS n, min(unix_time) AS first, max(unix_time) AS last, date >= half AS second_refresh FROM d, cut GROUP BY date, half""",
+)
+def file_zones(spark, sf):
+    """A table by date whose later half arrives after a first refresh: the range of each file, and which refresh read it."""
+    path, noted = scratch_path(spark, "zoned"), scratch_path(spark, "manifest")
+    rows = with_calendar(tx(spark, sf))
+    half = rows.agg(date_of(F.floor((F.min("unix_time") + F.max("unix_time")) / 2))).scalar()
+    known = manifest.Manifest(spark, noted, path, "unix_time", manifest.parquet_files(path))
+    for part in (F.col("date") < half, F.col("date") >= half):
+        files.write_partitioned(rows.where(part), path, "date", "unix_time")
+        new = known.refresh()
+    dated = known.table().withColumn("date", F.regexp_extract("path", "/date=([0-9-]+)/", 1).cast("date"))
+    return dated.groupBy("date").agg(
+        F.sum("n").alias("n"), F.min("lo").alias("first"), F.max("hi").alias("last"), F.bool_and(F.col("path").isin(new)).alias("second_refresh")
+    )
+
+
+@query(
+    "slice_by_manifest",
+    f"""WITH {TX}, cut AS (SELECT min(unix_time) + (max(unix_time) - min(unix_time)) // 2 AS lo FROM tx)
+    SELECT transaction_id, unix_time, tx_amount, make_timestamp(unix_time * 1000000)::DATE AS date, true AS few_files_opened
+    FROM tx, cut WHERE unix_time >= lo AND unix_time < lo + {2 * DAY}""",
+)
+def slice_by_manifest(spark, sf):
+    """Two days from the middle of a table by date, bounds and files taken from the manifest: three files of thirty are opened."""
+    path = scratch_path(spark, "sliced")
+    files.write_partitioned(with_calendar(tx(spark, sf)), path, "date", "unix_time")
+    known = manifest.Manifest(spark, scratch_path(spark, "manifest"), path, "unix_time", manifest.parquet_files(path))
+    known.refresh()
+    ends = known.span().first()
+    lo = ends["min_value"] + (ends["max_value"] - ends["min_value"]) // 2
+    rows = known.slice(lo, lo + 2 * DAY)
+    opened = F.lit(len(rows.inputFiles()) <= 3)
+    return rows.select("transaction_id", "unix_time", "tx_amount", "date", opened.alias("few_files_opened"))

@@ -13,26 +13,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywire.sources.files import file_sizes
+from tallywire.sources.files import file_sizes, listed_path, path_of_row
 from tallywire.sources.state import read_state, write_state
 
 BATCH, STAGED = "compaction", "staged"
 
 
-def _plain(path: Column) -> Column:
-    """A path without the slashes that listings and scans put differently after the scheme."""
-    return F.regexp_replace(path, r"^([A-Za-z0-9]+):/+", "$1:/")
-
-
-def _scanned() -> Column:
-    """The file of a row as listings name it; scans escape it."""
-    return _plain(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
-
-
 def packed(sizes: DataFrame, target_bytes: int) -> DataFrame:
     """(dir, path, n_files, planned, bin from 0) of the files of each directory that has more files than planned."""
     files = sizes.where(F.col("path").endswith(".parquet")).withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1))
@@ -48,13 +38,13 @@ def _numbered(bins: DataFrame) -> DataFrame:
     """(path, task): tasks from 0, one per bin. Bins are few: bytes / target."""
     tasks = bins.select("dir", "bin").distinct()
     tasks = tasks.withColumn("task", F.row_number().over(Window.orderBy("dir", "bin")) - 1)
-    return bins.join(tasks, ["dir", "bin"]).select(_plain(F.col("path")).alias("_path"), F.col("task").alias("_task"))
+    return bins.join(tasks, ["dir", "bin"]).select(listed_path(F.col("path")).alias("_path"), F.col("task").alias("_task"))
 
 
 def _write(rows: DataFrame, files: DataFrame, path: str, by: Sequence[str], sort: str) -> int:
     """Write `rows` as one file per task of `files`; returns the number of tasks. A row of an unknown file is an error."""
     n = (files.agg(F.max("_task")).first()[0] or 0) + 1
-    placed = rows.withColumn("_path", _scanned()).join(files, "_path", "left")
+    placed = rows.withColumn("_path", path_of_row()).join(files, "_path", "left")
     known = F.coalesce("_task", F.raise_error(F.concat(F.lit("file not in the plan: "), F.col("_path"))).cast("int"))
     laid_out = placed.withColumn("_task", known).repartitionById(n, "_task").sortWithinPartitions(*by, sort).drop("_path", "_task")
     laid_out.write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -76,15 +76,25 @@ def write_partitioned(
     writer.parquet(path)
 
 
-def file_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length) of all files below a path; contents are not read."""
+def listed_path(path: Column) -> Column:
+    """A path without the slashes that listings and scans put differently after the scheme."""
+    return F.regexp_replace(path, r"^([A-Za-z0-9]+):/+", "$1:/")
+
+
+def path_of_row() -> Column:
+    """The file of a row as listings name it; scans escape it."""
+    return listed_path(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
+
+
+def file_sizes(spark: SparkSession, path: str, more: Sequence[str] = ()) -> DataFrame:
+    """(path, length) of all files below a path, and `more` of what a listing tells; contents are not read."""
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from e
         raise
-    return files.select("path", "length")
+    return files.select("path", "length", *more)
 
 
 def file_count_for(sizes: DataFrame, target_mb: int = 512, zip: float = 3) -> DataFrame:

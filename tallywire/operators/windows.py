@@ -123,29 +123,24 @@ def _moments(n: Column, mean: Column, m2: Column) -> Column:
     return F.struct(n.cast("double").alias("n"), mean.alias("mean"), m2.alias("m2"))
 
 
-def _part(window: WindowSpec, around: str) -> Column:
-    """What a frame of seconds inside a bucket holds; `around` is the middle value for the spread."""
+def _held(window: WindowSpec, *spread: Column) -> Column:
+    """What a frame of seconds or buckets holds; the spread only where a deviation is asked for."""
+    sums = [F.sum(f"_{p}").over(window).alias(p) for p in _SUMS]
+    return F.struct(*sums, F.min("_min").over(window).alias("min"), F.max("_max").over(window).alias("max"), *[c.alias("spread") for c in spread])
+
+
+def _part_spread(window: WindowSpec, around: str) -> Column:
+    """Moments of a frame of seconds inside a bucket; `around` is the middle value."""
     n = F.sum("_vals").over(window)
     gap = F.sum(F.col("_vals") * (F.col("_mean") - F.col(around))).over(window)
     off = F.sum(F.col("_vals") * (F.col("_var") + square(F.col("_mean") - F.col(around)))).over(window)
-    return F.struct(
-        *[F.sum(f"_{p}").over(window).alias(p) for p in _SUMS],
-        F.min("_min").over(window).alias("min"),
-        F.max("_max").over(window).alias("max"),
-        _moments(n, F.col(around) + safe_div(gap, n), off - safe_div(square(gap), n)).alias("spread"),
-    )
+    return _moments(n, F.col(around) + safe_div(gap, n), off - safe_div(square(gap), n))
 
 
-def _middle(window: WindowSpec) -> Column:
-    """What a frame of whole buckets holds; their moments are merged one after the other."""
-    cells = F.collect_list("_spread").over(window)
+def _middle_spread(window: WindowSpec) -> Column:
+    """Moments of a frame of whole buckets, merged one after the other."""
     start = _moments(F.lit(0), F.lit(0.0), F.lit(0.0))
-    return F.struct(
-        *[F.sum(f"_{p}").over(window).alias(p) for p in _SUMS],
-        F.min("_min").over(window).alias("min"),
-        F.max("_max").over(window).alias("max"),
-        F.aggregate(cells, start, _merged).alias("spread"),
-    )
+    return F.aggregate(F.collect_list("_spread").over(window), start, _merged)
 
 
 def rolling_by_second(
@@ -190,6 +185,7 @@ def _three_part_frames(
     # both ends of a frame must fall into different buckets, or be the same second
     width = max(1, min(HOUR, min(hi - lo for lo, hi in frames.values())))
     offsets = sorted({o for frame in frames.values() for o in frame})
+    deviation = "std" in aggs
     stats = ["_rows", "_vals", "_sum", "_mean", "_var", "_min", "_max"]
 
     # every second stands on the line once with its data and once per offset as a probe at time + offset
@@ -205,14 +201,17 @@ def _three_part_frames(
     line = line.withColumn("_cell", bucket_of("_at", width))
     inside = Window.partitionBy(*keys, "_cell")
     whole = inside.orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    line = line.withColumns(
-        {"_first": F.first("_mean", True).over(whole), "_last": F.last("_mean", True).over(whole)}
-    )
+    if deviation:
+        line = line.withColumns(
+            {"_first": F.first("_mean", True).over(whole), "_last": F.last("_mean", True).over(whole)}
+        )
     # "since" runs backwards in time, because a frame up to unboundedFollowing is recomputed per row
     upto = inside.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
     since = inside.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, 0)
+    at_end = _held(upto, *([_part_spread(upto, "_first")] if deviation else []))
+    at_start = _held(since, *([_part_spread(since, "_last")] if deviation else []))
     edges = (
-        line.select(*keys, "_origin", "_offset", _part(upto, "_first").alias("upto"), _part(since, "_last").alias("since"))
+        line.select(*keys, "_origin", "_offset", at_end.alias("upto"), at_start.alias("since"))
         .where(F.col("_offset").isNotNull())
         .groupBy(*keys, "_origin")
         .agg(F.map_from_entries(F.collect_list(F.struct("_offset", F.struct("upto", "since")))).alias("_edges"))
@@ -225,15 +224,19 @@ def _three_part_frames(
         F.min("_min").alias("_min"),
         F.max("_max").alias("_max"),
         # at most as many seconds as a bucket has
-        F.aggregate(F.collect_list(own), _moments(F.lit(0), F.lit(0.0), F.lit(0.0)), _merged).alias("_spread"),
+        *([F.aggregate(F.collect_list(own), _moments(F.lit(0), F.lit(0.0), F.lit(0.0)), _merged).alias("_spread")] if deviation else []),
     )
     by_cell = Window.partitionBy(*keys).orderBy("_cell")
 
+    def middle_of(lo: int, hi: int) -> Column:
+        frame = by_cell.rangeBetween(lo, hi)
+        return _held(frame, *([_middle_spread(frame)] if deviation else []))
+
     def shifts(offset: int) -> list[int]:
         return sorted({offset // width * width, -(-offset // width) * width})
 
     middles = {
-        (name, a, b): _middle(by_cell.rangeBetween(a + width, b - width))
+        (name, a, b): middle_of(a + width, b - width)
         for name, (lo, hi) in frames.items()
         for a in shifts(lo)
         for b in shifts(hi)
@@ -262,6 +265,7 @@ def _three_part_frames(
     spread = {
         f"_spread_{n}": F.aggregate(f"_parts_{n}", _moments(F.lit(0), F.lit(0.0), F.lit(0.0)), lambda s, p: _merged(s, p["spread"]))
         for n in totals
+        if deviation
     }
     parted = parted.select("*", *[c.alias(n) for n, c in spread.items()])
     made: dict[str, Column] = {}

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywire.functions import safe_div, safe_sqrt
-from tallywire.operators.metrics import cells, evaluate_scores, weighted_prf_columns
+from tallywire.operators.metrics import evaluate_scores, weighted_prf_columns
 from tallywire.operators.skew import spread
 
 METRICS = ("auc", "f1", "p", "r")
@@ -48,18 +48,87 @@ def _position(cuts: Column, value: Column, blocks: int, equal: bool) -> Column:
     return F.aggregate(steps, F.lit(0), step)
 
 
-def _drawn(rows: DataFrame, n: int, seed: int) -> DataFrame:
-    """`rows` (with _key) once per resample that draws them, with replicate and weight w."""
-    draws = F.array(*[F.substring(F.col("_digest"), 8 * i + 1, 8) for i in range(4)])
-    drawn_from = [F.lit(str(seed)), F.col("_key"), F.col("_draws").cast("string")]
-    names = [c for c in rows.columns if c != "_key"]
-    return (
-        rows.select("*", F.explode(F.array(*[F.lit(i) for i in range(-(-n // 4))])).alias("_draws"))
-        .withColumn("_digest", F.md5(F.concat_ws(":", *drawn_from)))
-        .select(*names, "_draws", F.posexplode(draws).alias("_i", "_draw"))
-        .select(*names, (F.col("_draws") * 4 + F.col("_i")).alias("replicate"), poisson_weight(F.col("_draw")).alias("w"))
-        .where((F.col("w") > 0) & (F.col("replicate") < n))
-    )
+#: what a block of scores holds of a resample
+_FOLDED = ("tp", "fp", "fn", "tn", "pos", "neg")
+
+
+def _folded(n: int, draws: int, ordered: bool) -> Callable:
+    """Arrow function from rows with their digests to one row per model, block and resample that draws from it: cells, positives, negatives
+    and, if the rows stand in the order of model, block and score, the area that positives and negatives of the block make.
+
+    Only running sums go from one batch to the next, whatever a block holds. The function is a closure, so it goes to the tasks by value.
+    """
+    cuts = [int(c, 16) for c in poisson_cuts()]
+    names = _FOLDED
+
+    def fold(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        edges = np.array(cuts, dtype=np.int64)
+        block, tie = None, None  # the block and the score that are being summed
+
+        def emit():
+            drawn = np.flatnonzero(seen)
+            columns = [pa.array(np.full(len(drawn), block[0], np.int32)), pa.array(np.full(len(drawn), block[1], np.int32)), pa.array(drawn.astype(np.int32))]
+            columns += [pa.array(sums[i, drawn]) for i in range(len(names))]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(area[drawn])], ["model", "_block", "replicate", *names, "_area"])
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            col = {name: batch.column(name) for name in batch.schema.names}
+            model, at, label, prediction = (col[k].to_numpy() for k in ("model", "_block", "label", "prediction"))
+            lowest = col["score"].is_null().to_numpy(zero_copy_only=False)
+            score = col["score"].fill_null(0.0).to_numpy()
+            digests = np.frombuffer(b"".join(col["_digests"].to_pylist()), dtype=">u4").reshape(len(batch), 4 * draws)[:, :n]
+            w = np.searchsorted(edges, digests.astype(np.int64).ravel(), side="right").reshape(len(batch), n)
+            ends = np.flatnonzero((model[1:] != model[:-1]) | (at[1:] != at[:-1])) + 1
+            for lo, hi in zip([0, *ends], [*ends, len(batch)]):
+                if (model[lo], at[lo]) != block:
+                    if block is not None:
+                        yield emit()
+                    block, tie = (model[lo], at[lo]), None
+                    sums, area, seen = np.zeros((len(names), n), np.int64), np.zeros(n), np.zeros(n, np.int64)
+                y, p, part = label[lo:hi], prediction[lo:hi], w[lo:hi]
+                seen += part.sum(axis=0)
+                for i, held in enumerate([(y == 1) & (p == 1), (y == 0) & (p == 1), (y == 1) & (p == 0), (y == 0) & (p == 0)]):
+                    sums[i] += part[held].sum(axis=0)
+                if ordered:
+                    s, none = score[lo:hi], lowest[lo:hi]
+                    differs = (none[1:] != none[:-1]) | ~((s[1:] == s[:-1]) | (np.isnan(s[1:]) & np.isnan(s[:-1])))
+                    starts = np.append(0, np.flatnonzero(differs) + 1)
+                    pos, neg = (np.add.reduceat(part * (y == k)[:, None], starts, axis=0) for k in (1, 0))
+                    before = sums[5] + np.cumsum(neg, axis=0) - neg
+                    first = (bool(none[0]), "nan" if np.isnan(s[0]) else float(s[0]))
+                    if first == tie:
+                        # the score goes on from the batch before: its rows here and there are ties of each other
+                        area += (pos[0] * (before[0] - open_neg / 2) + open_pos * neg[0] / 2) + pos[0] * neg[0] / 2
+                        area += (pos[1:] * (before[1:] + neg[1:] / 2)).sum(axis=0)
+                    else:
+                        area += (pos * (before + neg / 2)).sum(axis=0)
+                        open_pos, open_neg = np.zeros(n, np.int64), np.zeros(n, np.int64)
+                    if len(starts) > 1:
+                        open_pos, open_neg = pos[-1], neg[-1]
+                    else:
+                        open_pos, open_neg = open_pos + pos[0], open_neg + neg[0]
+                    tie = (bool(none[-1]), "nan" if np.isnan(s[-1]) else float(s[-1]))
+                for i, k in ((4, 1), (5, 0)):
+                    sums[i] += part[y == k].sum(axis=0)
+        if block is not None:
+            yield emit()
+
+    return fold
+
+
+def _drawn(rows: DataFrame, n: int, seed: int, ordered: bool) -> DataFrame:
+    """`rows` (with _key) folded to their blocks and resamples. Every four draws of a row come from one digest."""
+    draws = -(-n // 4)
+    digests = F.concat(*[F.unhex(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_key"), F.lit(str(i))))) for i in range(draws)])
+    flags = [F.coalesce(F.col(c), F.lit(-1)).alias(c) for c in ("label", "prediction")]
+    rows = rows.select("model", "_block", "score", *flags, digests.alias("_digests"))
+    types = ", ".join(f"{c} bigint" for c in _FOLDED)
+    return rows.mapInArrow(_folded(n, draws, ordered), f"model int, _block int, replicate int, {types}, _area double")
 
 
 def bootstrap(
@@ -78,8 +147,8 @@ def bootstrap(
     Both models see the same resamples.
 
     AUC is that of the exact weighted curve over distinct scores, ties counting half. Rows are dealt to blocks of neighbouring
-    scores before they are drawn, so the shuffle moves each row once per model, not once per replicate; a block
-    accumulates its own curve, and only one row per (model, block, replicate) goes on to accumulate the blocks. The cuts between blocks are
+    scores before they are drawn, so the shuffle moves and sorts each row once per model, not once per replicate; a task reads its blocks in
+    order and keeps running sums of all replicates, and only one row per (model, block, replicate) goes on to accumulate the blocks. The cuts between blocks are
     approximate quantiles: they balance the work and do not change the result. A score that holds several quantiles is a block of its own, which
     folds map-side instead. A null score is the lowest.
     """
@@ -98,16 +167,12 @@ def bootstrap(
     is_hot = F.col("_upto") - F.col("_below") >= 2
     rows = rows.select("model", (2 * F.col("_below") + is_hot.cast("int")).alias("_block"), is_hot.alias("_hot"), "score", "label", "prediction", "_key")
 
-    w, by = F.col("w"), ["model", "_block", "replicate"]
-    pos, neg = (F.when(F.col("label") == y, w).otherwise(0) for y in (1, 0))
-    counts = [*cells("label", "prediction", w).values(), F.sum(pos).alias("pos"), F.sum(neg).alias("neg")]
+    by = ["model", "_block"]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cold = _drawn(rows.where(~F.col("_hot")).drop("_hot").repartition(parts, "model", "_block"), n, seed)
-    upto = Window.partitionBy(*by).orderBy("score").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    tied = Window.partitionBy(*by, "score")
-    cold = cold.withColumns({"_upto": F.sum(neg).over(upto), "_tied": F.sum(neg).over(tied)})
-    cold = cold.groupBy(*by).agg(*counts, F.sum(pos * (F.col("_upto") - F.col("_tied") / 2)).alias("_area"))
-    hot = _drawn(spread(rows.where("_hot").drop("_hot")), n, seed).groupBy(*by).agg(*counts)
+    cold = rows.where(~F.col("_hot")).drop("_hot").repartition(parts, *by).sortWithinPartitions(*by, "score")
+    cold = _drawn(cold, n, seed, ordered=True)
+    hot = _drawn(spread(rows.where("_hot").drop("_hot")), n, seed, ordered=False)
+    hot = hot.groupBy(*by, "replicate").agg(*[F.sum(c).alias(c) for c in _FOLDED])
     hot = hot.withColumn("_area", F.col("pos") * F.col("neg") / 2)
     scores = scores_from_blocks(cold.unionByName(hot), ["model", "replicate"])
     names = F.array(*[F.lit(name) for name in models])

@@ -168,3 +168,21 @@ def test_bootstrap_auc_is_exact_in_a_narrow_band(spark, blocks):
     df = spark.createDataFrame([(i, y, s, 0) for i, y, s in rows], "transaction_id long, tx_fraud int, prob_1 double, prediction int")
     got = {r["replicate"]: r["auc"] for r in bootstrap(df, 6, seed=7, blocks=blocks).collect()}
     assert [got[k] for k in range(6)] == pytest.approx(weighted_auc(rows, 6, 7), abs=1e-9)
+
+
+@pytest.mark.parametrize("blocks", [1, 5])
+def test_bootstrap_folds_across_batches(spark, conf, blocks):
+    """Ties, null and NaN scores that go on from one Arrow batch to the next; rows are not copied for the replicates."""
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    rng = random.Random(4)
+    rows = [(i, int(rng.random() < 0.4), rng.choice([0.1, 0.2, 0.2, 0.3, 0.7])) for i in range(90)]
+    ends = {0: (None, float("-inf")), 1: (float("nan"), float("inf"))}  # the lowest and the highest, as the twin sees them
+    odd = [(100 + i, i % 3 % 2, ends[i % 2]) for i in range(24)]
+    data = [(i, y, s, 0) for i, y, s in rows] + [(i, y, pair[0], 0) for i, y, pair in odd]
+    df = spark.createDataFrame(data, "transaction_id long, tx_fraud int, prob_1 double, prediction int")
+    found = bootstrap(df, 9, seed=5, blocks=blocks)
+    got = {r["replicate"]: r["auc"] for r in found.collect()}
+    want = weighted_auc(rows + [(i, y, pair[1]) for i, y, pair in odd], 9, 5)
+    assert [got[k] for k in range(9)] == pytest.approx(want, abs=1e-9)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_draws" not in plan and plan.count("MapInArrow") == 2

@@ -160,6 +160,26 @@ def training_positions(taken: DataFrame, schedules: Sequence = SCHEDULES) -> Dat
     return passes.withColumn("position", invert_demand(_at(schedules, F.col("_order")), share))
 
 
+def training_order(taken: DataFrame, schedules: Sequence = SCHEDULES) -> DataFrame:
+    """The passes of `take_documents` rows, range-sorted by position, ties by source and id."""
+    return training_positions(taken, schedules).orderBy("position", "source", "_id", "pass_no")
+
+
+def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """One row per document: _id, source, size, source_size, target, and of its places in the training order _passes, first_position and
+    last_position; documents that are never trained have no passes and null positions."""
+    taken = written(take_documents(docs, id_col, text_col, source_col, **how), "taken")
+    order = written(training_order(taken), "training-order")
+    # a document with words is told by its source and the words ahead of it
+    spots = order.groupBy(F.col("source").alias("_src"), F.col("_before").alias("_ahead")).agg(
+        F.count(F.lit(1)).alias("_passes"), F.min("position").alias("first_position"), F.max("position").alias("last_position")
+    )
+    here = F.col("source").eqNullSafe(F.col("_src")) & (F.col("_before") == F.col("_ahead")) & (F.col("size") > 0)
+    return taken.join(spots, here, "left").select(
+        "_id", "source", "size", "source_size", "target", F.coalesce("_passes", F.lit(0)).cast("long").alias("_passes"), "first_position", "last_position"
+    )
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mixture: columns of `docs`, pass_no and position; range-sorted by position, ties by source and id.
 

@@ -74,8 +74,9 @@ SQL_SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
     FROM a""",
 )
 def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.take_documents(table(spark, sf, "documents")).select(
-        F.col("_id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("_times")).alias("taken")
+    """Words taken are those of the document's places in the training order."""
+    return mixing.trained(table(spark, sf, "documents")).select(
+        F.col("_id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("_passes")).alias("taken")
     )
 
 

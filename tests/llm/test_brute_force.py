@@ -425,6 +425,23 @@ def test_mixture_follows_schedule_and_targets(spark):
     assert [tuple(r) for r in again] == [tuple(r) for r in mixed]
 
 
+def test_op4_counts_places_in_the_training_order(spark, tmp_path, monkeypatch):
+    """The words that the query reports are those of the range-sorted order: take a pass away there and they are gone."""
+    rng = random.Random(3)
+    rows = [(i % 400, "w " * rng.randint(0, 9) if i % 50 else None, rng.choice(["a", "b", None])) for i in range(420)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    want = Counter((r["_id"], r["size"], r["size"] * r["_times"]) for r in mixing.take_documents(docs).collect())
+    got = QUERIES["op4_mixing"](spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["size"], r["taken"]) for r in got) == want
+    order = mixing.training_positions
+    monkeypatch.setattr(mixing, "training_positions", lambda *a: order(*a).where("pass_no = 0"))
+    once = QUERIES["op4_mixing"](spark, str(tmp_path)).collect()
+    assert all(r["taken"] in (0, r["size"]) for r in once) and any(r["taken"] > r["size"] for r in got)
+    places = [r["position"] for r in mixing.training_order(mixing.take_documents(docs)).collect()]
+    assert places == sorted(places) and len(places) > 100
+
+
 # --- html and tokens ---------------------------------------------------------------------------
 
 

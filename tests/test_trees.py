@@ -46,3 +46,15 @@ def test_sql_walk_over_the_node_table(fitted, tmp_path):
       FROM walk JOIN nodes n USING (tree, node) WHERE n."left" IS NULL GROUP BY 1) JOIN data USING (transaction_id)"""
     apart, n = duckdb.sql(sql).fetchall()[0]
     assert n == 1000 and apart < 1e-9
+
+
+def test_walk_takes_whole_batches(fitted, conf, spark):
+    """Trees are walked for a batch of rows at once, whatever its size; the ensemble does not go along with each row."""
+    model, rows = fitted
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    both = trees.walked(model.transform(rows.limit(100).unionByName(rows.limit(1))), trees.node_table(model), 4)
+    assert both.where(F.abs(vector_to_array("probability")[1] - F.col("walk_prob_1")) < 1e-9).count() == 101
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
+    empty = trees.walked(model.transform(rows.where("false")), trees.node_table(model), 4)
+    assert empty.count() == 0

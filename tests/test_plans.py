@@ -57,3 +57,19 @@ def test_warm_up_filter_stays_above_the_windows(spark):
 def test_bootstrap_folds_before_the_big_shuffle(spark):
     text = plan(bootstrap(scored(spark, SF), 8, models={"b": ("pred_b", "score_b")}))
     assert "partial_sum" in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_hot_plan_carries_spread_only_where_a_deviation_is_asked_for(spark, conf):
+    """Three of the six customer frames ask for it; probes without data are left out before the windows."""
+    conf("spark.sql.debug.maxToStringFields", "1000")
+    text = features.customer_features(tx(spark, SF), hot_rows=0)._jdf.queryExecution().optimizedPlan().toString()
+    middles = [line for line in text.splitlines() if "Window" in line and "collect_list(" in line]
+    assert sum(line.count("collect_list(") for line in middles) == 3
+    assert text.count("Join LeftSemi") == 1
+
+
+def test_hot_buckets_are_folded_without_the_customer_frames(spark):
+    """Rows of ordinary and of hot buckets carry the customer frames; the bucket table and the seconds do without (70 scans before reuse, if not)."""
+    cfg = features.FeatureConfig(hot_customer_rows=0, hot_bucket_rows=0)
+    text = features.build_features(tx(spark, SF), cfg)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [") <= 34

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallywire.operators import features
 from tallywire.operators.buckets import BucketSpec, bucketed_multi, bucketed_rolling
 from tallywire.operators.skew import split_hot
-from tallywire.operators.windows import rolling
+from tallywire.operators.windows import rolling, rolling_by_second
 
 ROWS = "id bigint, customer_id int, terminal_id int, unix_time bigint, tx_amount double, tx_fraud int"
 ALL = ["count", "sum", "avg", "std", "isnew"]
@@ -186,3 +186,30 @@ def test_null_keys_are_a_key_of_buckets(spark):
     df = spark.createDataFrame([(i, None, None, 3600 * i, 1.0, 0) for i in range(4)], ROWS)
     out = bucketed_rolling(df, ["customer_id"], "unix_time", "tx_amount", {"p": (-7200, -3600)}, prefix="c", include_current=False)
     assert [r[0] for r in out.orderBy("id").select("c_tx_amount_cn_p").collect()] == [0, 1, 2, 2]
+
+
+def test_aggregates_by_frame(spark):
+    """Frames of one pass may ask for different aggregates."""
+    df, frames = make(spark, 150), {"a": (-86400, 0), "b": (-172800, -86400)}
+    asked = {"a": ["count", "avg"], "b": ["sum", "std", "isnew"]}
+    got = rolling_by_second(df, ["customer_id"], "unix_time", "tx_amount", frames, asked, "c")
+    assert got.columns[2:] == [f"tx_amount_{n}" for n in ("cn_c_a", "avg_c_a", "sum_c_b", "std_c_b", "isnew_c_b")]
+    want = rolling(df, ["customer_id"], "unix_time", "tx_amount", frames, ALL, "c", hot_rows=None).select(*got.columns).distinct()
+    assert values(got) == values(want)
+
+
+def test_hot_frames_of_null_keys_and_no_values(spark):
+    rows = [(0, None, 1, 100, None, 0), (1, None, 1, 90_000, 2.0, 0), (2, 1, 1, 70, 3.0, 0), (3, 1, 1, 9000, None, 0), (4, 1, 1, 50, None, 0), (5, 1, 1, 60, None, 0)]
+    df, frames = spark.createDataFrame(rows, ROWS), {"a": (-86400, 0), "b": (-172800, -86400)}
+    direct, by_second = (rolling(df, ["customer_id"], "unix_time", "tx_amount", frames, ALL, "c", hot_rows=n) for n in (None, 0))
+    assert values(by_second) == values(direct)
+
+
+@pytest.mark.parametrize("hot", [None, 20, 0])
+def test_buckets_from_narrow_rows(spark, hot):
+    """Rows that stand in for costly ones in the counting and folding of buckets change nothing."""
+    df = make(spark)
+    specs = [BucketSpec("tx_amount", BUCKET_FRAMES, ("count", "avg"), "t"), BucketSpec("tx_fraud", BUCKET_FRAMES, ("sum",), "f", include_current=False)]
+    plain, narrow = df.select("terminal_id", "unix_time", "tx_amount"), df.select("terminal_id", "unix_time", "tx_amount", "tx_fraud")
+    got = bucketed_multi(df, ["terminal_id"], "unix_time", specs, hot_rows=hot, plain=plain, narrow=narrow)
+    assert values(got) == values(bucketed_multi(df, ["terminal_id"], "unix_time", specs, hot_rows=hot))

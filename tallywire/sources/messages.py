@@ -122,12 +122,17 @@ def payload_records(df: DataFrame, schema: T.StructType, col: str = "value") ->
     """
     text = F.trim(F.col(col).cast("string"))
     parts = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
-    rows = df.withColumn("record", F.explode(F.coalesce(F.transform(parts, lambda v: F.to_json(v)), F.array(text))))
-    data = F.from_json("record", schema)
-    fields = [F.when(F.col(f"data.`{f.name}`").isNull(), F.lit(f.name)) for f in schema.fields]
-    rows = rows.withColumn("data", data)
-    bad = ~F.coalesce(F.startswith(F.col("record"), F.lit("{")), F.lit(False)) | F.try_parse_json("record").isNull()
-    return rows.withColumn("reasons", F.when(bad, F.array(F.lit("not an object"))).otherwise(F.array_compact(F.array(*fields))))
+    records = F.coalesce(F.transform(parts, lambda v: F.to_json(v)), F.array(text))
+
+    def read(record: Column) -> Column:
+        is_object = F.coalesce(F.startswith(record, F.lit("{")), F.lit(False)) & F.try_parse_json(record).isNotNull()
+        return F.struct(record.alias("record"), F.from_json(record, schema).alias("data"), is_object.alias("is_object"))
+
+    # read below the explode: a filter on fields or reasons would else read the text again for each field it names
+    rows = df.withColumn("_read", F.explode(F.transform(records, read)))
+    fields = [F.when(F.col(f"_read.data.`{f.name}`").isNull(), F.lit(f.name)) for f in schema.fields]
+    reasons = F.when(~F.col("_read.is_object"), F.array(F.lit("not an object"))).otherwise(F.array_compact(F.array(*fields)))
+    return rows.withColumns({"record": F.col("_read.record"), "data": F.col("_read.data"), "reasons": reasons}).drop("_read")
 
 
 def explode_payload(df: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:

@@ -1,5 +1,7 @@
 """What the plans must look like at scale."""
 
+import re
+
 from conftest import SF
 from pyspark.sql import functions as F
 
@@ -7,6 +9,8 @@ from tallywire.operators import features
 from tallywire.operators.compare import bootstrap
 from tallywire.operators.slices import slice_range
 from tallywire.queries.common import scored, table, tx
+from tallywire.schemas import CONTRACT
+from tallywire.sources.messages import payload_records
 
 
 def plan(df) -> str:
@@ -73,3 +77,10 @@ def test_hot_buckets_are_folded_without_the_customer_frames(spark):
     cfg = features.FeatureConfig(hot_customer_rows=0, hot_bucket_rows=0)
     text = features.build_features(tx(spark, SF), cfg)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Relation [") <= 34
+
+
+def test_records_are_read_once_whatever_is_asked_of_them(spark):
+    lines = spark.createDataFrame([('{"transaction_id": 1}',)], "value string")
+    rows = payload_records(lines, CONTRACT).where(F.size("reasons") == 0).select("data.*")
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("from_json|JsonToStructs", text)) == 1

@@ -5,11 +5,13 @@ import re
 from conftest import SF
 from pyspark.sql import functions as F
 
-from tallywire.operators import features
+from tallywire.operators import features, models
 from tallywire.operators.compare import bootstrap
 from tallywire.operators.slices import slice_range
+from tallywire.plans import jobs
 from tallywire.queries.common import scored, table, tx
 from tallywire.schemas import CONTRACT
+from tallywire.session import METHOD_LIMIT, wide_rows
 from tallywire.sources.messages import payload_records
 
 
@@ -84,3 +86,49 @@ def test_records_are_read_once_whatever_is_asked_of_them(spark):
     rows = payload_records(lines, CONTRACT).where(F.size("reasons") == 0).select("data.*")
     text = rows._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall("from_json|JsonToStructs", text)) == 1
+
+
+def test_wide_rows_are_compiled_in_any_session(spark, conf, monkeypatch, tmp_path):
+    """A session with Spark's own limit would compute feature rows and feed the fit in methods that the JVM never compiles."""
+    conf(METHOD_LIMIT, "65535")
+    seen = {}
+
+    def spy(owner, name, give):
+        def noted(*args, **kwargs):
+            seen[name] = spark.conf.get(METHOD_LIMIT)
+            return give(*args, **kwargs)
+
+        monkeypatch.setattr(owner, name, noted)
+
+    label = (F.col("id") % 3 == 0).cast("int")
+    rows = spark.range(40).select(F.col("id").alias("unix_time"), label.alias("tx_fraud"), F.lit(1.0).alias("weight"), (label * 0.5).alias("x"))
+    spy(models, "gbt", models.gbt)
+    model = models.train(df=rows, params=models.GbtParams(maxDepth=1, maxIter=1), cols=["x"])
+    assert model.transform(rows).where("prediction = tx_fraud").count() == 40
+    spy(models, "assemble", lambda df: models.assembler(["x"]).transform(df))
+    spy(models, "cv_score", lambda df, folds, params: float(df.count()))
+    assert [t["mean_f1"] for t in models.search(rows, [], n=2)] == [40.0, 40.0]
+    spy(jobs, "write_partitioned", lambda df, *rest: None)
+    bounds = {"start_time": 0, "end_time": 2_000_000_000, "good_time": 0}
+    jobs._write_features(tx(spark, SF), str(tmp_path), bounds, jobs.FeatureJobConfig())
+    spy(jobs, "learning_rows", lambda *args: None)
+    assert jobs.train_job(spark, "", "") is None
+    assert seen == dict.fromkeys(("gbt", "assemble", "cv_score", "write_partitioned", "learning_rows"), "8000")
+    assert spark.conf.get(METHOD_LIMIT) == "65535"
+
+
+def test_wide_rows_give_the_limit_back(spark, conf):
+    @wide_rows
+    def seen(df, fail=False):
+        return 1 / (not fail), df.sparkSession.conf.get(METHOD_LIMIT)
+
+    df = spark.range(1)
+    conf(METHOD_LIMIT, "65535")
+    assert seen(df) == (1.0, "8000") and spark.conf.get(METHOD_LIMIT) == "65535"
+    try:
+        seen(df, fail=True)
+    except ZeroDivisionError:
+        pass
+    assert spark.conf.get(METHOD_LIMIT) == "65535"
+    conf(METHOD_LIMIT, "4000")
+    assert seen(df=df) == (1.0, "4000") and spark.conf.get(METHOD_LIMIT) == "4000"
